@@ -6,7 +6,7 @@ import importlib
 
 from tickerloom.plans import registry
 
-AREAS = ("market",)
+AREAS = ("market", "corpus")
 
 
 def _load() -> None:
