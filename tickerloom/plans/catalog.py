@@ -6,7 +6,7 @@ import importlib
 
 from tickerloom.plans import registry
 
-AREAS = ("market", "corpus")
+AREAS = ("labels",)
 
 
 def _load() -> None:

@@ -229,15 +229,15 @@ def signature_pairs(t):
     return pairs.join(a, "a").join(b, "b")
 
 
-OVERLAP = f"""WITH {GRAMS}, {PAIRS}, {sig('nodes')} SELECT p.a, p.b, {{}} FROM pairs p JOIN sig x ON x.original_index = p.a JOIN sig y ON y.original_index = p.b"""
+OVERLAP = f"""WITH {GRAMS}, {PAIRS}, {sig('nodes')} SELECT p.a, p.b, @@ FROM pairs p JOIN sig x ON x.original_index = p.a JOIN sig y ON y.original_index = p.b"""
 
 
-@query("minhash_jaccard", OVERLAP.format(f"({EQUAL} * 128)::BIGINT AS equal_positions"))
+@query("minhash_jaccard", OVERLAP.replace("@@", f"({EQUAL} * 128)::BIGINT AS equal_positions"))
 def minhash_jaccard(t):
     return signature_pairs(t).select("a", "b", tx.equal_positions(F.col("sig_a"), F.col("sig_b")).cast("long").alias("equal_positions"))
 
 
-@query("content_overlap", OVERLAP.format(f"{EQUAL} AS overlap, {EQUAL} > 0.75 AS passes"))
+@query("content_overlap", OVERLAP.replace("@@", f"{EQUAL} AS overlap, {EQUAL} > 0.75 AS passes"))
 def content_overlap(t):
     overlap = tx.minhash_jaccard(F.col("sig_a"), F.col("sig_b"))
     return signature_pairs(t).select("a", "b", overlap.alias("overlap"), (overlap > tx.CONTENT_THRESHOLD).alias("passes"))
@@ -251,16 +251,16 @@ def shingle_jaccard_exact(t):
     return final(df.select("a", "b", tx.shingle_jaccard(F.col("x"), F.col("y")).alias("jaccard")))
 
 
-HAM = f"""WITH {WORDS}, {SIM}, {PAIRS} SELECT p.a, p.b, bit_count(xor(x.h, y.h))::INT AS distance{{}}
+HAM = f"""WITH {WORDS}, {SIM}, {PAIRS} SELECT p.a, p.b, bit_count(xor(x.h, y.h))::INT AS distance@@
 FROM pairs p JOIN sim x ON x.original_index = p.a JOIN sim y ON y.original_index = p.b"""
 
 
-@query("hamming_distance", HAM.format(""))
+@query("hamming_distance", HAM.replace("@@", ""))
 def hamming_distance(t):
     return news_pairs(t, "simhash").select("a", "b", tx.hamming(F.col("a_simhash"), F.col("b_simhash")).alias("distance"))
 
 
-@query("semantic_distance", HAM.format(", bit_count(xor(x.h, y.h)) <= 3 AS near"))
+@query("semantic_distance", HAM.replace("@@", ", bit_count(xor(x.h, y.h)) <= 3 AS near"))
 def semantic_distance(t):
     distance = tx.hamming(F.col("a_simhash"), F.col("b_simhash"))
     return news_pairs(t, "simhash").select("a", "b", distance.alias("distance"), (distance <= tx.SIMHASH_THRESHOLD).alias("near"))
