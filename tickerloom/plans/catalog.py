@@ -6,7 +6,7 @@ import importlib
 
 from tickerloom.plans import registry
 
-AREAS = ("labels",)
+AREAS = ("market", "corpus", "labels", "web", "runs", "reports")
 
 
 def _load() -> None:
