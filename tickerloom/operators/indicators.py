@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BY_DATE = W.partitionBy("code").orderBy("date")
+
+def _by_date():
+    return W.partitionBy("code").orderBy("date")
 
 
 def _trailing(n: int):
-    return BY_DATE.rowsBetween(-(n - 1), 0)
+    return _by_date().rowsBetween(-(n - 1), 0)
 
 
 def _full(value: Column, n: int) -> Column:
@@ -67,7 +69,7 @@ def ma_rolling(bars: DataFrame, n: int = 20) -> DataFrame:
 
 def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     """Relative strength index in its simple-mean form; 100 when the frame holds no loss."""
-    step = F.col("close") - F.lag("close").over(BY_DATE)
+    step = F.col("close") - F.lag("close").over(_by_date())
     moved = bars.withColumn("_step", step)
     gain = F.avg(F.greatest("_step", F.lit(0.0))).over(_trailing(n))
     loss = F.avg(F.greatest(-F.col("_step"), F.lit(0.0))).over(_trailing(n))
