@@ -157,7 +157,11 @@ def hamming(a: Column, b: Column) -> Column:
 
 def edit_similarity(a: Column, b: Column) -> Column:
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(1 - F.levenshtein(a, b) / longest)
+    return (
+        F.when((F.length(a) == 0) | (F.length(b) == 0), 0.0)
+        .when(a == b, 1.0)
+        .otherwise(1 - F.levenshtein(a, b) / longest)
+    )
 
 
 def term_counts(text: Column) -> Column:

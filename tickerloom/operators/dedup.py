@@ -25,6 +25,7 @@ Tables of ids between passes are written to the shared folder, so no pass depend
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.functions import text as tx
-from tickerloom.session import materialize, spread
+from tickerloom.session import materialize, redistribute, spread
 
 BLOCK_WIDTHS = (13, 13, 13, 13, 12)
 KEPT_BLOCKS = 2
@@ -41,6 +42,14 @@ _RATIO = MIN_COSINE**2 * tx.SINGLE_IDF**2
 COMMON_SHARE = _RATIO / (1 - MIN_COSINE**2 + _RATIO) - 1e-6
 
 
+# From a table of ids to the items with these ids.
+ItemsOf = Callable[[DataFrame], DataFrame]
+
+
+def among(items: DataFrame) -> ItemsOf:
+    return lambda ids: items.join(ids, "original_index", "left_semi")
+
+
 @dataclasses.dataclass
 class Deduplication:
     """Ids of the outcome; ``matches`` holds (original_index, duplicate_of) when asked for."""
@@ -108,7 +117,8 @@ def compared(items: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
     """
     doc = tx.clean(F.col("doc"))
     title = tx.clean(tx.compared_title(F.col("title"), F.col("doc")))
-    base = items.select("original_index", doc.alias("doc2"), title.alias("title2"))
+    # the generator makes both texts real columns, so the uses below do not evaluate them again
+    base = items.select("original_index", F.inline(F.array(F.struct(doc.alias("doc2"), title.alias("title2")))))
     return base.select(
         "original_index",
         "doc2",
@@ -136,15 +146,13 @@ def similar_titles(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def similar_content(pairs: DataFrame, items: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
+def similar_content(pairs: DataFrame, items_of: ItemsOf, cut: tx.Words = tx.words) -> DataFrame:
     """Pairs whose MinHash signatures agree often enough; signatures only for the ids involved."""
     pairs = materialize(pairs, "titles")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("original_index")).distinct()
-    signed_items = items.join(ids, "original_index", "left_semi").select(
-        "original_index", tx.clean(F.col("doc")).alias("doc2")
-    )
+    signed_items = items_of(ids).select("original_index", tx.clean(F.col("doc")).alias("doc2"))
     signatures = materialize(
-        spread(signed_items, "original_index").select("original_index", tx.minhash(tx.shingles(F.col("doc2"), cut=cut)).alias("sig")), "minhash"
+        redistribute(signed_items, "original_index").select("original_index", tx.minhash(tx.shingles(F.col("doc2"), cut=cut)).alias("sig")), "minhash"
     )
     a = signatures.select(F.col("original_index").alias("a"), F.col("sig").alias("sig_a"))
     b = signatures.select(F.col("original_index").alias("b"), F.col("sig").alias("sig_b"))
@@ -185,12 +193,23 @@ def settle(settleable: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFram
     return materialize(kept, "kept"), dropped
 
 
-def deduplicate(items: DataFrame, leaders: int = 64, with_matches: bool = False, cut: tx.Words = tx.words) -> Deduplication:
-    """Run the removal over items with ``original_index``, ``doc`` and ``title``."""
+def deduplicate(
+    items: DataFrame,
+    leaders: int = 64,
+    with_matches: bool = False,
+    cut: tx.Words = tx.words,
+    items_of: ItemsOf | None = None,
+) -> Deduplication:
+    """Run the removal over items with ``original_index``, ``doc`` and ``title``.
+
+    ``items_of`` may give the items of a few ids more cheaply than a semi join on ``items`` does,
+    for instance by restricting the rows before they are normalised.
+    """
+    items_of = items_of or among(items)
     narrow = compared(spread(items, "original_index"), cut).select(
         "original_index", "title2", "counts", "simhash", F.sha2(F.concat_ws("\u0001", "title2", "doc2"), 256).alias("digest")
     )
-    searchable = materialize(narrow.where(F.size("counts") > 0), "searchable")
+    searchable = materialize(narrow, "searchable").where(F.size("counts") > 0)
     firsts = searchable.groupBy("digest").agg(F.min("original_index").alias("original_index"))
     nodes = materialize(searchable.join(firsts.select("original_index"), "original_index", "left_semi"), "nodes")
     copies = searchable.join(nodes.select("original_index"), "original_index", "left_anti").select("original_index", "digest")
@@ -215,7 +234,7 @@ def deduplicate(items: DataFrame, leaders: int = 64, with_matches: bool = False,
             .select(F.col("l.original_index").alias("a"), F.col("m.original_index").alias("b"))
             .distinct()
         )
-        edges = materialize(similar_content(similar_titles(candidates, nodes), items, cut), "pairs")
+        edges = materialize(similar_content(similar_titles(candidates, nodes), items_of, cut), "pairs")
         edge_parts.append(edges)
         settleable = (
             leading.groupBy("original_index", "n_keys").agg(F.count("*").alias("n")).where("n = n_keys").select("original_index")
@@ -260,9 +279,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def deduplicated(items: DataFrame, cut: tx.Words = tx.words, leaders: int = 64) -> DataFrame:
-    """The kept items."""
-    return items.join(deduplicate(items, leaders, cut=cut).dropped, "original_index", "left_anti")
+def deduplicated_rows(rows: DataFrame, build: Callable[[DataFrame], DataFrame], cut: tx.Words = tx.words) -> DataFrame:
+    """The kept items of news rows; ``build`` makes items of rows.
+
+    Rows, not items, are restricted where only some are needed, so texts are normalised once for
+    the search and once for what is kept.
+    """
+    found = deduplicate(build(rows), cut=cut, items_of=lambda ids: build(among(rows)(ids)))
+    return build(rows.join(found.dropped, "original_index", "left_anti"))
 
 
 def dedup_stats(items: DataFrame, dropped: DataFrame) -> DataFrame:

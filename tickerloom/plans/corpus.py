@@ -75,6 +75,10 @@ def items(t):
     return news.news_items(t.v_news)
 
 
+def items_of(t):
+    return lambda ids: news.news_items(dedup.among(t.v_news)(ids))
+
+
 def nodes(t):
     return dedup.compared(items(t))
 
@@ -274,7 +278,7 @@ def is_duplicate(t):
     """The three tests on each listed pair; MinHash only for pairs that pass the two cheap ones."""
     pairs = news_pairs(t, "simhash").select("a", "b", (tx.hamming(F.col("a_simhash"), F.col("b_simhash")) <= tx.SIMHASH_THRESHOLD).alias("near"))
     near = pairs.where("near").select("a", "b")
-    passed = dedup.similar_content(dedup.similar_titles(near, nodes(t)), items(t)).withColumn("hit", F.lit(True))
+    passed = dedup.similar_content(dedup.similar_titles(near, nodes(t)), items_of(t)).withColumn("hit", F.lit(True))
     return pairs.join(passed, ["a", "b"], "left").select("a", "b", F.coalesce("hit", F.lit(False)).alias("duplicate"))
 
 
@@ -298,25 +302,25 @@ gone AS MATERIALIZED (SELECT unnest(dropped) AS original_index FROM (SELECT drop
 WHERE b IN (SELECT original_index FROM gone) AND a NOT IN (SELECT original_index FROM gone) GROUP BY b""")
 def dedup_pair_join(t):
     """Each dropped item with the earliest kept item it duplicates."""
-    return dedup.deduplicate(items(t), with_matches=True).matches
+    return dedup.deduplicate(items(t), with_matches=True, items_of=items_of(t)).matches
 
 
 @query("dedup_greedy", EDGES + " SELECT original_index, md5(doc) AS doc, title FROM items WHERE original_index NOT IN (SELECT original_index FROM gone)")
 def dedup_greedy(t):
-    return dedup.deduplicated(items(t)).select("original_index", F.md5("doc").alias("doc"), "title")
+    return dedup.deduplicated_rows(t.v_news, news.news_items).select("original_index", F.md5("doc").alias("doc"), "title")
 
 
 @query("dedup_stats", EDGES + """ SELECT (SELECT count(*) FROM items) AS original, (SELECT count(*) FROM gone) AS duplicates,
 (SELECT count(*) FROM items) - (SELECT count(*) FROM gone) AS kept""")
 def dedup_stats(t):
-    return dedup.dedup_stats(items(t), dedup.deduplicate(items(t)).dropped)
+    return dedup.dedup_stats(items(t), dedup.deduplicate(items(t), items_of=items_of(t)).dropped)
 
 
 @query("dedup_corpus", EDGES + " SELECT original_index, md5(doc) AS doc, title, labels, stock_symbol FROM items WHERE original_index NOT IN (SELECT original_index FROM gone)")
 def dedup_corpus(t):
     """CSV to normalised items to kept items to JSON lines, read back."""
     rows = files.read_csv(t.spark, news_csv(t), files.NEWS_CSV)
-    kept, path = dedup.deduplicated(news.news_items(rows)), scratch_path(t.spark, "deduplicated")
+    kept, path = dedup.deduplicated_rows(rows, news.news_items), scratch_path(t.spark, "deduplicated")
     files.write_jsonl(kept, path)
     return files.read_jsonl(t.spark, path, kept.schema).select("original_index", F.md5("doc").alias("doc"), "title", "labels", "stock_symbol")
 

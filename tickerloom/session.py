@@ -52,10 +52,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _bytes(spark: SparkSession, key: str, default: int) -> int:
+    text = str(spark.conf.get(key, str(default))).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = text.rstrip("bkmg")
+    unit = text[len(digits):].replace("b", "")
+    return int(digits) * units.get(unit, 1)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy row work all cores when the input arrives in fewer splits than there are cores.
+    """Give CPU-heavy row work all cores when the input is too small to arrive in that many splits.
 
-    Large inputs already have more splits than cores and pass unchanged, without a shuffle.
+    The size is the optimizer's estimate, so nothing runs. Inputs of at least one split per core,
+    and inputs of unknown size, pass unchanged and without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size < cores * _bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+    return df.repartition(cores, key) if small else df
+
+
+def redistribute(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows over all shuffle partitions ahead of CPU-heavy work; a set number keeps small ones apart."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
