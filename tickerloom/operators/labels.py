@@ -94,7 +94,7 @@ def shuffled(rows: DataFrame, seed: int) -> DataFrame:
 
 
 def sample_random(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    return shuffled(rows, seed).where(F.col("shuffle_pos") <= n)
+    return with_rank(rows, seeded(seed, "row_id"), "row_id", "shuffle_pos", at_most=n)
 
 
 def _by_quota(rows: DataFrame, n: int, seed: int) -> DataFrame:
@@ -121,7 +121,7 @@ def sample_balanced(rows: DataFrame, n: int, seed: int) -> DataFrame:
     """Equal quotas per label, the shortfall filled from the rest, the whole shuffled."""
     flagged = _by_quota(rows, n, seed)
     chosen = flagged.where("_chosen").select(*rows.columns)
-    rest = with_rank(flagged.where("NOT _chosen"), seeded(seed, "row_id"), "row_id", "_fill")
+    rest = with_rank(flagged.where("NOT _chosen"), seeded(seed, "row_id"), "row_id", "_fill", at_most=n)
     filled = rest.where(F.col("_fill") <= F.col("shortfall")).select(*rows.columns)
     return shuffled(chosen.unionByName(filled), seed)
 

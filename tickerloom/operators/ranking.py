@@ -22,8 +22,15 @@ def seeded(seed: int | Column, row_id: str) -> Column:
     return F.md5(F.concat(seed_text, F.lit(":"), F.col(row_id).cast("string")))
 
 
-def with_rank(df: DataFrame, order: Column, row_id: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Add the 1-based position of each row by (``order``, ``row_id``) within ``keys``."""
+def with_rank(
+    df: DataFrame, order: Column, row_id: str, name: str, keys: Sequence[str] = (), at_most: int | None = None
+) -> DataFrame:
+    """Add the 1-based position of each row by (``order``, ``row_id``) within ``keys``.
+
+    ``keys`` must have few values (score labels here): the offsets hold at most 65,536 rows per key,
+    which bounds their broadcast. With ``at_most`` only the first positions are returned, and rows of
+    later buckets leave before the shuffle.
+    """
     placed = df.withColumn("_order", order).withColumn("_bucket", F.substring("_order", 1, BUCKET_DIGITS))
     group = [*keys, "_bucket"]
     before = F.coalesce(
@@ -33,10 +40,12 @@ def with_rank(df: DataFrame, order: Column, row_id: str, name: str, keys: Sequen
         F.lit(0),
     )
     offsets = placed.groupBy(*group).agg(F.count("*").alias("_n")).withColumn("_before", before).drop("_n")
+    if at_most is not None:
+        offsets = offsets.where(F.col("_before") < at_most)
     inside = F.row_number().over(W.partitionBy(*group).orderBy("_order", row_id))
-    return (
-        placed.withColumn("_inside", inside)
-        .join(offsets, group)
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_order", "_bucket", "_inside", "_before")
+    ranked = (
+        placed.join(F.broadcast(offsets), group)
+        .withColumn(name, F.col("_before") + inside)
+        .drop("_order", "_bucket", "_before")
     )
+    return ranked if at_most is None else ranked.where(F.col(name) <= at_most)
