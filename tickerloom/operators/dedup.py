@@ -11,11 +11,11 @@ all pairs:
    blocks (three differing bits spoil at most three blocks) combined with a title token from the
    front of a fixed token order (a title cosine above 0.6 needs common tokens with more than 52.6 %
    of the squared counts of either title, so the first common token lies in that front part).
-3. Within a key only the first ``leaders`` undecided items are compared with the others. An item
-   that leads all of its keys has been compared with every earlier rival and can be settled; a
-   kept one has also met all its later copies, which are dropped at once. What is left goes round
-   again with more leaders. A crowd of near-copies thus costs its size times the leader count, not
-   its square.
+3. Within a key of at most ``leaders`` undecided items each is compared with the later ones; in a
+   larger key only the first few are compared with all others. An item that leads all of its keys
+   has been compared with every earlier rival and can be settled; a kept one has also met all its
+   later copies, which are dropped at once. What is left goes round again with more leaders. A crowd
+   of near-copies thus costs its size times a few, not its square.
 4. Verified pairs are settled by repeated passes: keep items without an earlier undecided rival,
    drop their duplicates (Blelloch, Fineman and Shun 2012).
 
@@ -103,10 +103,34 @@ def candidate_keys(simhash: Column, counts: Column) -> Column:
 
     def per_block(tokens: Column) -> Column:
         return F.flatten(
-            F.transform(masks, lambda b: F.transform(tokens, lambda token: F.xxhash64(b["i"], simhash.bitwiseAND(b["m"]), token)))
+            F.transform(
+                masks,
+                lambda b: F.transform(
+                    tokens, lambda token: F.struct(b["i"].alias("pick"), F.xxhash64(b["i"], simhash.bitwiseAND(b["m"]), token).alias("key"))
+                ),
+            )
         )
 
-    return F.array_distinct(tx.let(leading_tokens(counts), per_block))
+    return tx.let(leading_tokens(counts), per_block)
+
+
+def first_pick(a: Column, b: Column) -> Column:
+    """The first choice of blocks in which two SimHashes agree: the one place where a pair is formed."""
+    differing = a.bitwiseXOR(b)
+    return F.coalesce(*[F.when(differing.bitwiseAND(F.lit(m).cast("long")) == 0, i) for i, m in enumerate(block_masks())])
+
+
+def leading(undecided: DataFrame, leaders: int) -> DataFrame:
+    """Rows that lead their key: all of a key with up to ``leaders`` rows, the first few of a larger one.
+
+    The limit is applied per partition before the shuffle and bounds what a key can bring together.
+    Large keys are mostly crowds of copies, which a few leaders clear.
+    """
+    rank = F.row_number().over(W.partitionBy("key").orderBy("original_index"))
+    size = F.count("*").over(W.partitionBy("key"))
+    few = max(1, leaders // 16)
+    first = undecided.withColumn("_rank", rank).where(F.col("_rank") <= leaders + 1).withColumn("_size", size)
+    return first.where((F.col("_size") <= leaders) | (F.col("_rank") <= few)).drop("_rank", "_size")
 
 
 def compared(items: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
@@ -216,7 +240,7 @@ def deduplicate(
 
     keys = materialize(
         nodes.select("original_index", "simhash", candidate_keys(F.col("simhash"), F.col("counts")).alias("keys")).select(
-            "original_index", "simhash", F.size("keys").alias("n_keys"), F.explode("keys").alias("key")
+            "original_index", "simhash", F.size("keys").alias("n_keys"), F.inline("keys")
         ),
         "keys",
     )
@@ -225,10 +249,11 @@ def deduplicate(
     rounds = 0
     while True:
         rounds += 1
-        front = F.row_number().over(W.partitionBy("key").orderBy("original_index"))
-        leading = materialize(undecided.withColumn("_rank", front).where(F.col("_rank") <= leaders).drop("_rank"), "leaders")
-        lead, member = leading.alias("l"), members.alias("m")
-        close = tx.hamming(F.col("l.simhash"), F.col("m.simhash")) <= tx.SIMHASH_THRESHOLD
+        front = materialize(leading(undecided, leaders), "leaders")
+        lead, member = front.alias("l"), members.alias("m")
+        close = (tx.hamming(F.col("l.simhash"), F.col("m.simhash")) <= tx.SIMHASH_THRESHOLD) & (
+            first_pick(F.col("l.simhash"), F.col("m.simhash")) == F.col("l.pick")
+        )
         candidates = (
             lead.join(member, (F.col("l.key") == F.col("m.key")) & (F.col("l.original_index") < F.col("m.original_index")) & close)
             .select(F.col("l.original_index").alias("a"), F.col("m.original_index").alias("b"))
@@ -237,7 +262,7 @@ def deduplicate(
         edges = materialize(similar_content(similar_titles(candidates, nodes), items_of, cut), "pairs")
         edge_parts.append(edges)
         settleable = (
-            leading.groupBy("original_index", "n_keys").agg(F.count("*").alias("n")).where("n = n_keys").select("original_index")
+            front.groupBy("original_index", "n_keys").agg(F.count("*").alias("n")).where("n = n_keys").select("original_index")
         )
         settleable = materialize(settleable, "settleable")
         if with_matches and rounds > 1:  # members settled earlier take part only as possible matches
