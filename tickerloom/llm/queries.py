@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerloom.llm import simhash
+from tickerloom.llm import bpe, packing, simhash, suffix, toxicity
 from tickerloom.llm.common import table
 
 
@@ -14,10 +16,33 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.RANKS))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = suffix.remove_repeats(docs)
+    return cleaned.select(
+        "doc_id",
+        (F.octet_length("_kept") + F.col("_n_removed")).cast("long").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_simhash_near_dedup,
+        op8_toxicity,
+        op9_packing,
+        op10_suffix_array_dedup,
     )
 }
 
