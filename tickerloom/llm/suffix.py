@@ -281,7 +281,7 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: in
 
     n = points.count()
     parts = max(shuffle_partitions(docs), -(-n // bucket))
-    dealt = points.repartitionByRange(parts, "_right")
+    dealt = points.repartitionByRange(parts, "_right", "_left")
     found = materialize(dealt.mapInArrow(lambda b: _sorted_bucket(b, length, parts), f"{_SPAN}, _part int, _open binary"), "spans")
     met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInPandas(lambda r: _across(r, length), _SPAN)
     rows = found.where("_part is null").select("_tid", "_n", "_from", "_to").unionByName(met)
