@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ann, bpe, bpe_table, html_tree, oph, packing, sharding, simhash, suffix, toxicity
+from tickerloom.llm import ann, bpe, bpe_table, html_tree, lm, oph, packing, sharding, simhash, suffix, toxicity
 from tickerloom.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op4_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.RANKS))
+
+
 def op6_html_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_tree.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_simhash_near_dedup,
         op3_byte_bpe,
         op4_one_permutation_minhash,
+        op5_attention_lm,
         op6_html_tree_model,
         op7_label_propagation,
         op8_toxicity,
