@@ -1,13 +1,15 @@
 """Fixed expected values and edge rows."""
 
 import datetime as dt
+import hashlib
 import json
+import math
 
 import pytest
 from gold_requests import CASES
 from pyspark.sql import functions as F
 from tickerloom.functions import codes, dates, outputs, prompts, report_text, request, text, web
-from tickerloom.operators import calendar, klines, labels, masking, metrics, project, ranking, runs, scoring, statements
+from tickerloom.operators import calendar, indicators, klines, labels, masking, metrics, news, project, ranking, runs, scoring, statements
 from tickerloom.sources import files, market
 
 
@@ -18,7 +20,6 @@ def one(spark, value, fn, kind="string"):
 def test_requests(spark):
     df = spark.createDataFrame([(i, q) for i, (q, _, _) in enumerate(CASES)], "i int, q string")
     got = {r.i: (r.r.company, r.r.code) for r in df.select("i", request.stock_request(F.col("q")).alias("r")).collect()}
-    assert len(CASES) == 60
     wrong = [(q, got[i], (c, k)) for i, (q, c, k) in enumerate(CASES) if got[i] != (c, k)]
     assert wrong == []
 
@@ -175,7 +176,8 @@ def test_projection(spark):
     with pytest.raises(ValueError):
         project.project_existing(df, ["x"], strict=True)
     wide = df.select("币种", *[F.lit(1).alias(f"利润{i}") for i in range(30)], F.lit(2).alias("other"))
-    assert len(project.project_keyword_columns(wide, ["利润"]).columns) == 25
+    assert len(project.project_keyword_columns(wide, ["利润"]).columns) == 31
+    assert len(project.project_keyword_columns(wide, ["利润"], most=24).columns) == 25
     assert project.project_keyword_columns(df.select("a", "b"), ["利润"]).columns == ["a", "b"]
 
 
@@ -309,7 +311,6 @@ def test_messages(spark):
     got = {r.conv_id: r for r in runs.transcripts(df).collect()}
     assert got[1].transcript == "User: hi\nAssistant: yo" and got[1].system_text == "new" and got[3].transcript == "User:"
     assert {r.conv_id: r.output for r in runs.last_answer(df).collect()} == {1: "yo", 2: "a\nb", 3: "No analysis generated."}
-    assert runs.transcripts(df, turns_per_part=2).where("conv_id = 1").count() == 2
 
 
 def test_run_folders(spark, tmp_path):
@@ -326,7 +327,111 @@ def test_open_ended_ranges(spark):
     assert market.date_between(df, "d", None, None).count() == 3 and market.date_between(df, "d", "2024-01-02", None).count() == 2
 
 
-def test_scratch_follows_the_session(spark):
+class _Conf(dict):
+    def get(self, key, default=None):
+        return dict.get(self, key, default)
+
+
+class _Session:
+    """A session with just the settings that name the shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = _Conf({"spark.checkpoint.dir": folder} if folder else {})
+        self.sparkContext = self
+        self.master, self.made = master, None
+
+    def getConf(self):
+        return self.conf
+
+    def getCheckpointDir(self):
+        return self.made
+
+    def setCheckpointDir(self, path):
+        self.made = path
+
+
+def test_scratch_follows_the_session():
     from tickerloom.session import shared_dir
 
-    assert shared_dir(spark) == shared_dir(spark)
+    assert shared_dir(_Session("yarn", "hdfs://store/scratch/")) == "hdfs://store/scratch"
+    alone = _Session("local[4]")
+    assert shared_dir(alone) == alone.made == shared_dir(alone)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(_Session(master))
+
+
+def test_macd_is_not_cut(spark):
+    prices = [10 + 3 * math.sin(i / 9) + i / 50 for i in range(600)]
+    bars = spark.createDataFrame([("A", dt.date(2020, 1, 1) + dt.timedelta(days=i), p) for i, p in enumerate(prices)], "code string, date date, close double")
+
+    def mean(values, span):
+        decay, out, num, den = 1 - 2 / (span + 1), [], 0.0, 0.0
+        for v in values:
+            num, den = num * decay + v, den * decay + 1
+            out.append(num / den)
+        return out
+
+    dif = [a - b for a, b in zip(mean(prices, 12), mean(prices, 26))]
+    dea = mean(dif, 9)
+    got = indicators.macd(bars).orderBy("date").collect()
+    assert [r.dif for r in got] == pytest.approx(dif) and [r.dea for r in got] == pytest.approx(dea)
+    assert [r.macd for r in got] == pytest.approx([2 * (a - b) for a, b in zip(dif, dea)], abs=1e-9)
+
+
+def test_first_by_title_within_keys(spark):
+    rows = [("q1", 0, "A"), ("q1", 1, "B"), ("q2", 0, "C"), ("q2", 1, "A"), ("q2", 2, "C")]
+    df = spark.createDataFrame(rows, "query string, pos int, title string")
+    assert sorted((r.query, r.pos, r.title) for r in news.first_by_title(df, ["query"]).collect()) == [("q1", 0, "A"), ("q1", 1, "B"), ("q2", 0, "C"), ("q2", 1, "A")]
+    got = news.first_by_title(df).collect()
+    assert sorted(r.title for r in got) == ["A", "B", "C"]
+
+
+def test_append_to_an_empty_list(spark):
+    kind = "conv_id long, turn long, role string, text string"
+    got = runs.append_messages(spark.createDataFrame([(1, 4, "user", "a")], kind), spark.createDataFrame([(1, 0, "user", "b"), (2, 0, "user", "c")], kind))
+    assert sorted((r.conv_id, r.turn, r.text) for r in got.collect()) == [(1, 4, "a"), (1, 5, "b"), (2, 0, "c")]
+
+
+def test_long_transcript_is_one_value(spark):
+    rows = [(1, i, "user" if i % 2 else "assistant", f"t{i} \n" if i == 4095 else f"t{i}") for i in range(9000)]
+    (row,) = runs.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert row.transcript == "\n".join(("User: " if r[2] == "user" else "Assistant: ") + r[3] for r in rows)
+
+
+def test_peers_without_industry(spark):
+    df = spark.createDataFrame([("1", "x"), ("2", None), ("3", "x")], "code string, industry string")
+    assert {r.code: r.peer_count for r in market.peers(df).collect()} == {"1": 2, "2": None, "3": 2}
+
+
+def test_restated_report_counts_once(spark):
+    statement = spark.createDataFrame(
+        [("A", "20230331", "2023-05-01", 1), ("A", "20230331", "2023-06-01", 2), ("A", "20221231", "2023-07-01", 3)],
+        "code string, `报告日` string, `更新日期` string, v int",
+    )
+    requests = statements.with_target(spark.createDataFrame([("A", 2023, 1), ("A", 2023, 3)], "code string, y int, q int"))
+    assert sorted((r.q, r.v) for r in statements.asof_statement(statement, requests).collect()) == [(1, 2), (3, 2)]
+
+
+def test_statement_reports(spark):
+    make = lambda column, value: spark.createDataFrame([("A", "20230331", value), ("A", "20220331", value * 2)], f"code string, `报告日` string, `{column}` int")
+    tables = {statements.PROFIT: make("净利润", 5), statements.BALANCE: make("资产总计", 7), statements.CASH: make("现金净额", 9)}
+    requests = spark.createDataFrame([("A", 2023, 2)], "code string, y int, q int")  # not published yet: the newest before it
+    got = statements.statement_report("profit", tables, requests).collect()
+    assert [(r["报告日"], r["净利润"]) for r in got] == [("20230331", 5)]
+    grown = statements.statement_report("dupont", tables, requests)
+    want = [
+        (statements.PROFIT, 2023, 5, None), (statements.PROFIT, 2022, 10, None), (statements.BALANCE, 2023, None, 7),
+        (statements.BALANCE, 2022, None, 14), (statements.CASH, 2023, None, None), (statements.CASH, 2022, None, None),
+    ]
+    assert sorted(((r["报表"], r["report_year"], r["净利润"], r["资产总计"]) for r in grown.collect()), key=str) == sorted(want, key=str)
+    for kind in statements.KEYWORDS:
+        assert statements.statement_report(kind, tables, requests).count() in (1, 6)
+
+
+def test_simhash_and_counts_of_a_long_text(spark):
+    words = [f"w{i % 5000}x" for i in range(20_000)]
+    row = spark.createDataFrame([(" ".join(words), words)], "t string, w array<string>").select(text.term_counts(F.col("t")).alias("c"), text.simhash(F.col("w")).alias("s")).first()
+    assert len(row.c) == 5000 and set(row.c.values()) == {4}
+    low = [int.from_bytes(hashlib.md5(w.encode()).digest()[8:], "big") for w in words]
+    assert row.s % 2**64 == sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in low) > len(low))

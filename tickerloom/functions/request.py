@@ -23,10 +23,8 @@ COMPANY = [
     r"分析\s*([^0-9（）()\s]+)",
     r"([^0-9（）()\s]+)\s*(?:这只|这个|的)?\s*股票",
     r"了解一下\s*([^0-9（）()\s]+?)(?:\s*的|\s|$)",
-    r"给我分析一下\s*([^0-9（）()\s]+?)(?:\s*的|\s|$)",
     r"([^0-9（）()\s]+?)\s*的\s*(?:财务表现|盈利能力|现金流状况|资产负债情况|技术面|股价走势|技术指标|技术面表现|估值水平|市盈率|市净率|估值|投资风险|风险因素|风险评估|投资价值|股票|基本面情况|基本面|财务状况)",
     r"([^0-9（）()\s]+?)\s*在\s*[^0-9（）()\s]*\s*中",
-    r"([^0-9（）()\s]+?)\s*在\s*[^0-9（）()\s]*\s*中\s*的",
     r"([^0-9（）()\s]+?)\s*面临",
 ]
 CODE = [

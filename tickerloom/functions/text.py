@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -107,48 +110,26 @@ def shingle_jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
-def md5_low64(text: Column) -> Column:
-    """The low 64 bits of the md5 integer, as a signed long."""
-
-    def half(digest: Column, start: int) -> Column:
-        return F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
-
-    return let(F.md5(text), lambda d: F.shiftleft(half(d, 17), 32).bitwiseOR(half(d, 25)))
+def simhash(tokens: Column) -> Column:
+    """64-bit SimHash over the low halves of the words' md5: a bit is set when more than half of the words,
+    repeats counted, have it. An Arrow function: each distinct word of a text is hashed once, and bits are weighted by counts.
+    """
 
+    def one(words) -> int | None:
+        if words is None:
+            return None
+        counts = Counter(words)
+        if not counts:
+            return 0
+        hashes = np.frombuffer(b"".join(hashlib.md5(w.encode()).digest()[8:] for w in counts), np.uint8)
+        bits = np.unpackbits(hashes.reshape(-1, 8), axis=1)
+        votes = np.fromiter(counts.values(), np.int64, len(counts)) @ bits
+        return int(np.packbits(votes * 2 > len(words)).view(">i8")[0])
 
-def simhash(tokens: Column) -> Column:
-    """64-bit SimHash: a bit is set when more than half of the words, repeats counted, have it.
+    def compute(lists: pd.Series) -> pd.Series:
+        return pd.Series([one(words) for words in lists], dtype="Int64")
 
-    Several bit counts share one long: with 16-bit fields 16 sums over the word hashes give all 64
-    counts; texts too long for that use 32-bit fields and 32 sums.
-    """
-    zero = F.lit(0).cast("long")
-
-    def bits(h: Column, width: int) -> Column:
-        fields = range(64 // width)
-        low, spread_mask = (1 << width) - 1, sum(1 << (width * f) for f in fields)
-        n = F.size(h).cast("long")
-
-        def counted(j: Column) -> Column:
-            return F.aggregate(
-                h, zero, lambda acc, x: acc + F.call_function("shiftright", x, j).bitwiseAND(F.lit(spread_mask))
-            )
-
-        def set_bits(sums: Column, j: Column) -> Column:
-            merged = zero
-            for f in fields:
-                count = F.shiftrightunsigned(sums, width * f).bitwiseAND(F.lit(low))
-                bit = F.call_function("shiftleft", F.lit(1).cast("long"), j + width * f)
-                merged = merged.bitwiseOR(F.when(count * 2 > n, bit).otherwise(zero))
-            return merged
-
-        per_offset = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), counted)
-        return F.aggregate(F.transform(per_offset, set_bits), zero, lambda acc, b: acc.bitwiseOR(b))
-
-    return let(
-        F.transform(tokens, md5_low64),
-        lambda h: F.when(F.size(h) < (1 << 16), bits(h, 16)).otherwise(bits(h, 32)),
-    )
+    return F.pandas_udf(compute, T.LongType())(tokens)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -165,15 +146,21 @@ def edit_similarity(a: Column, b: Column) -> Column:
 
 
 def term_counts(text: Column) -> Column:
-    """Map of lower-case tokens of two or more word characters to their counts."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit("[0-9a-z一-龥]{2,}"), F.lit(0))
-    return let(
-        tokens,
-        lambda t: F.map_from_arrays(
-            F.array_distinct(t),
-            F.transform(F.array_distinct(t), lambda x: F.size(F.filter(t, lambda y: y == x))),
-        ),
-    )
+    """Map of lower-case tokens of two or more word characters to their counts: one sort, then runs are measured."""
+    tokens = F.sort_array(F.regexp_extract_all(F.lower(text), F.lit("[0-9a-z一-龥]{2,}"), F.lit(0)))
+
+    def runs(t: Column) -> Column:
+        places = F.when(F.size(t) > 0, F.sequence(F.lit(1), F.size(t))).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 1) | (F.get(t, i - 1) != F.get(t, i - 2)))
+
+        def counted(s: Column) -> Column:
+            ends = F.concat(F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0))), F.array(F.size(t) + 1))
+            sizes = F.zip_with(s, F.slice(ends, F.lit(1), F.size(s)), lambda a, b: b - a)
+            return F.map_from_arrays(F.transform(s, lambda i: F.get(t, i - 1)), sizes)
+
+        return let(starts, counted)
+
+    return let(tokens, runs)
 
 
 def tfidf_cosine(a: Column, b: Column) -> Column:

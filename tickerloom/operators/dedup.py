@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.functions import text as tx
-from tickerloom.session import materialize, redistribute, spread
+from tickerloom.session import materialize, redistribute
 
 BLOCK_WIDTHS = (13, 13, 13, 13, 12)
 KEPT_BLOCKS = 2
@@ -158,13 +158,19 @@ def similar_titles(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     a = nodes.select(*[F.col(c).alias(f"a_{c}") for c in columns])
     b = nodes.select(*[F.col(c).alias(f"b_{c}") for c in columns])
     la, lb = F.length("a_title2"), F.length("b_title2")
-    similarity = tx.title_similarity(F.col("a_title2"), F.col("b_title2"), F.col("a_counts"), F.col("b_counts"))
+    # the cosine is known first, so the edit distance is only sought within what it leaves room for
+    cosine = tx.tfidf_cosine(F.col("a_counts"), F.col("b_counts"))
+    longest = F.greatest(la, lb)
+    room = F.floor(longest * (F.col("cosine") + 1 - 2 * tx.TITLE_THRESHOLD) + 1e-9).cast("int")
+    edits = F.call_function("levenshtein", F.col("a_title2"), F.col("b_title2"), F.greatest(room, F.lit(0)))
+    similarity = F.when((F.least(la, lb) > 0) & (edits >= 0), (1 - edits / longest + F.col("cosine")) / 2).otherwise(0.0)
     same = F.col("a_title2") == F.col("b_title2")
     return (
         pairs.join(a, pairs["a"] == F.col("a_original_index"))
         .join(b, pairs["b"] == F.col("b_original_index"))
         .where(F.least(la, lb) > F.greatest(la, lb) * (MIN_COSINE - 1e-9))
-        .where(same | (tx.tfidf_cosine(F.col("a_counts"), F.col("b_counts")) > MIN_COSINE - 1e-9))
+        .withColumn("cosine", cosine)
+        .where(same | (F.col("cosine") > MIN_COSINE - 1e-9))
         .where(F.when(same, F.lit(True)).otherwise(similarity > tx.TITLE_THRESHOLD))
         .select("a", "b")
     )
@@ -230,7 +236,7 @@ def deduplicate(
     for instance by restricting the rows before they are normalised.
     """
     items_of = items_of or among(items)
-    narrow = compared(spread(items, "original_index"), cut).select(
+    narrow = compared(items, cut).select(
         "original_index", "title2", "counts", "simhash", F.sha2(F.concat_ws("\u0001", "title2", "doc2"), 256).alias("digest")
     )
     searchable = materialize(narrow, "searchable").where(F.size("counts") > 0)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _by_date():
@@ -84,26 +86,22 @@ def rsi(bars: DataFrame, n: int = 14) -> DataFrame:
     )
 
 
-def _ema(value: str, span: int, depth: int) -> Column:
-    """Exponential mean as a weighted frame of ``depth`` rows, newest first, weights normalised."""
-    decay = 1 - 2.0 / (span + 1)
-    frame = F.collect_list(value).over(_trailing(depth))
-    weighted = F.aggregate(
-        frame,
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")),
-        lambda acc, x: F.struct((acc["s"] * decay + x).alias("s"), (acc["w"] * decay + 1.0).alias("w")),
-        lambda acc: acc["s"] / acc["w"],
-    )
-    return weighted
+def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    """Difference of two exponential means, its signal line and the histogram (twice the gap).
 
+    The means run over all bars of a code, weights normalised; one pass per code in date order. Bars of a code are
+    bounded by the calendar.
+    """
+    schema = T.StructType([*bars.schema.fields, *(T.StructField(n, T.DoubleType()) for n in ("dif", "dea", "macd"))])
 
-def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, depth: int = 100) -> DataFrame:
-    """Difference of two exponential means, its signal line and the histogram (twice the gap)."""
-    return (
-        bars.withColumn("dif", _ema("close", fast, depth) - _ema("close", slow, depth))
-        .withColumn("dea", _ema("dif", signal, depth))
-        .withColumn("macd", (F.col("dif") - F.col("dea")) * 2)
-    )
+    def lines(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("date")
+        mean = lambda values, span: values.ewm(span=span, adjust=True, ignore_na=True).mean()
+        dif = mean(group["close"].astype(float), fast) - mean(group["close"].astype(float), slow)
+        dea = mean(dif, signal)
+        return group.assign(dif=dif, dea=dea, macd=(dif - dea) * 2)
+
+    return bars.groupBy("code").applyInPandas(lines, schema)
 
 
 def support_resistance(bars: DataFrame, n: int = 20) -> DataFrame:

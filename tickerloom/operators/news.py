@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.functions.text import normalize
-from tickerloom.session import spread
 
 # Source tag, envelope limits, title rules, items scored per company.
 LOCAL_SOURCE = "local_csv"
@@ -31,7 +30,7 @@ def news_items(rows: DataFrame) -> DataFrame:
     The empty texts leave inside the generator: a filter behind the projection would be pushed
     below it and normalise every text twice.
     """
-    chosen = spread(rows, "original_index").select(
+    chosen = rows.select(
         F.coalesce(_given(F.col("Article")), _given(F.col("Textrank_summary"))).alias("_text"),
         F.coalesce(_given(F.col("Article_title")), _given(F.col("Stock_symbol"))).alias("_title"),
         F.when(F.col("risk_deepseek").isNotNull(), F.concat(F.lit("risk_score:"), F.col("risk_deepseek").cast("string")))
@@ -79,9 +78,10 @@ def parse_envelopes(envelopes: DataFrame) -> DataFrame:
 
 
 def first_by_title(items: DataFrame, keys: Sequence[str] = (), order: str = "pos") -> DataFrame:
-    """The first item of each exact title: the position is aggregated, then joined back on itself."""
-    first = items.groupBy(*keys, "title").agg(F.min(order).alias(order)).select(*keys, order)
-    return items.join(first, [*keys, order], "left_semi")
+    """The first item of each exact title within ``keys``: one aggregate over one read, with map-side combine."""
+    rest = [c for c in items.columns if c not in (*keys, "title")]
+    first = items.groupBy(*keys, "title").agg(F.min(F.struct(F.col(order).alias("_order"), *[F.col(f"`{c}`") for c in rest])).alias("_first"))
+    return first.select(*[F.col(f"_first.`{c}`") if c in rest else F.col(f"`{c}`") for c in items.columns])
 
 
 def filter_titles(items: DataFrame, k: int) -> DataFrame:

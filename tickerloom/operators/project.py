@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Columns a statement keeps first, the cap on matched columns, default field lists,
-# and the wording of the status row.
+# Columns a statement keeps first and default field lists.
 STATEMENT_FIXED = ["报告日", "类型", "币种", "更新日期"]
-STATEMENT_MATCH_CAP = 24
 KLINE_PREFERRED = [
     "date", "code", "open", "high", "low", "close", "preclose", "volume", "amount", "turnover", "pctChg", "adjustflag",
 ]
 BASIC_DEFAULT = ["code", "tradeStatus", "code_name"]
-UNAVAILABLE = " has no verified Sina endpoint on this server; continue with available tools."
+#: Ends the message of a request without data.
+UNAVAILABLE = " is not available for this request."
 
 
 def project_existing(
@@ -31,14 +30,14 @@ def project_existing(
     return df.select(*[F.col(f"`{name}`") for name in existing])
 
 
-def project_keyword_columns(df: DataFrame, keywords: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Fixed columns, then the first columns whose name holds a keyword; all columns if none qualifies.
+def project_keyword_columns(df: DataFrame, keywords: Sequence[str], keep: Sequence[str] = (), most: int | None = None) -> DataFrame:
+    """Fixed columns, then the columns whose name holds a keyword, the first ``most`` of them if given; all if none does.
 
     ``keep`` names key columns of the table form that stay in front.
     """
     fixed = [c for c in STATEMENT_FIXED if c in df.columns]
     matched = [c for c in df.columns if c not in fixed and c not in keep and any(k in c for k in keywords)]
-    chosen = fixed + matched[:STATEMENT_MATCH_CAP]
+    chosen = fixed + matched[:most]
     columns = list(keep) + chosen if chosen else df.columns
     return df.select(*[F.col(f"`{c}`") for c in columns])
 

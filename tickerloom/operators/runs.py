@@ -1,8 +1,7 @@
 """Run logs and message lists.
 
 Message tables hold one row per message (``conv_id``, ``turn``, ``role``, ``text``). Lengths, counts and
-last messages are plain aggregates. Only texts that must become one value are gathered, and a very
-long conversation is gathered in parts of a fixed number of turns.
+last messages are plain aggregates. Only texts that must become one value are gathered.
 """
 
 from __future__ import annotations
@@ -17,8 +16,6 @@ PREFIXES = {USER: "User: ", ASSISTANT: "Assistant: "}
 NO_ANALYSIS = "No analysis generated."
 TOOL_OUTPUT_CHARACTERS = 1000
 
-TURNS_PER_PART = 4096
-
 AGENT_LOG = T.StructType(
     [
         T.StructField("execution_id", T.StringType()),
@@ -144,7 +141,8 @@ def run_summary(agents: DataFrame, events: DataFrame) -> DataFrame:
     )
     # four folders, the run document, one file per agent, two per interaction, one per agent with tools
     files = 5 + F.size("agents_executed") + 2 * F.col("llm_interactions_count") + F.col("_tool_files")
-    return listed.join(counted, "execution_id").withColumn("total_files_created", files).drop("_tool_files")
+    joined = listed.join(counted, "execution_id", "left").fillna(0, ["llm_interactions_count", "tools_used_count", "_tool_files"])
+    return joined.withColumn("total_files_created", files).drop("_tool_files")
 
 
 def run_details(durations: DataFrame, agents: DataFrame, events: DataFrame) -> DataFrame:
@@ -183,28 +181,26 @@ def last_answer(messages: DataFrame) -> DataFrame:
     return answers.unionByName(fallback)
 
 
-def transcripts(messages: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """The system text (the last one counts) and the other turns as prefixed lines.
-
-    A conversation gives one row; one longer than ``turns_per_part`` turns gives several numbered
-    parts, so that no single task or value has to hold it all.
-    """
+def transcript_lines(messages: DataFrame) -> DataFrame:
+    """The prefixed lines of a conversation, a row each, by ``turn``: the form for lists too long to be one value."""
     line = F.when(F.col("role") == USER, F.concat(F.lit(PREFIXES[USER]), "text")).when(
         F.col("role") == ASSISTANT, F.concat(F.lit(PREFIXES[ASSISTANT]), "text")
     )
-    part = F.floor(F.col("turn") / turns_per_part)
-    gathered = F.array_sort(F.collect_list(F.when(F.col("line").isNotNull(), F.struct("turn", "line"))))
-    lines = messages.select("conv_id", part.alias("part"), "turn", line.alias("line")).groupBy("conv_id", "part").agg(
-        F.regexp_replace(F.array_join(gathered.getField("line"), "\n"), r"^\s+|\s+$", "").alias("transcript")
-    )
-    system = messages.where(F.col("role") == SYSTEM).groupBy("conv_id").agg(F.max_by("text", "turn").alias("system_text"))
-    return lines.join(system, "conv_id", "left")
+    return messages.select("conv_id", "turn", line.alias("line")).where("line is not null")
+
+
+def transcripts(messages: DataFrame) -> DataFrame:
+    """One row per conversation: the system text (the last one counts) and the other turns as prefixed lines, trimmed."""
+    gathered = transcript_lines(messages).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "line"))).alias("lines"))
+    system = messages.groupBy("conv_id").agg(F.max_by("text", F.when(F.col("role") == SYSTEM, F.col("turn"))).alias("system_text"))
+    text = F.regexp_replace(F.array_join(F.col("lines.line"), "\n"), r"^\s+|\s+$", "")
+    return system.join(gathered, "conv_id", "left").select("conv_id", F.coalesce(text, F.lit("")).alias("transcript"), "system_text")
 
 
 def append_messages(messages: DataFrame, additions: DataFrame) -> DataFrame:
-    """Message lists concatenated in table form: added messages follow the last turn of their conversation."""
+    """Message lists concatenated in table form: added messages follow the last turn of their conversation, if it has one."""
     last = messages.groupBy("conv_id").agg(F.max("turn").alias("_last"))
-    placed = additions.join(last, "conv_id").select("conv_id", (F.col("_last") + 1 + F.col("turn")).alias("turn"), "role", "text")
+    placed = additions.join(last, "conv_id", "left").select("conv_id", (F.coalesce("_last", F.lit(-1)) + 1 + F.col("turn")).alias("turn"), "role", "text")
     return messages.select("conv_id", "turn", "role", "text").unionByName(placed)
 
 

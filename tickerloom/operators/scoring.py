@@ -35,37 +35,21 @@ def softmax_score(logits: Column) -> Column:
     )
 
 
-def logits_udf(load_model: Callable[[], Model]):
-    """Arrow UDF of a model; ``load_model`` runs once per Python worker, not per batch."""
+def logits_udf(load_sentiment: Callable[[], Model], load_risk: Callable[[], Model]):
+    """One Arrow function for both models, so texts travel once; each loads once per Python worker."""
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        model = load_model()
+    @F.pandas_udf(T.StructType().add("sentiment", T.ArrayType(T.DoubleType())).add("risk", T.ArrayType(T.DoubleType())))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        sentiment, risk = load_sentiment(), load_risk()
         for symbols, summaries in batches:
-            yield pd.Series(model(symbols, summaries))
+            yield pd.DataFrame({"sentiment": sentiment(symbols, summaries), "risk": risk(symbols, summaries)})
 
     return run
 
 
 def score_news(items: DataFrame, load_sentiment: Callable[[], Model], load_risk: Callable[[], Model]) -> DataFrame:
     """Sentiment and risk structs per item with ``stock_symbol`` and ``summary``; each row is scored once."""
-    symbol, summary = F.col("stock_symbol"), F.col("summary")
-    logits = items.withColumn("_sentiment", logits_udf(load_sentiment)(symbol, summary)).withColumn(
-        "_risk", logits_udf(load_risk)(symbol, summary)
-    )
+    logits = items.withColumn("_logits", logits_udf(load_sentiment, load_risk)(F.col("stock_symbol"), F.col("summary")))
     return logits.select(
-        *items.columns, softmax_score(F.col("_sentiment")).alias("sentiment"), softmax_score(F.col("_risk")).alias("risk")
+        *items.columns, softmax_score(F.col("_logits.sentiment")).alias("sentiment"), softmax_score(F.col("_logits.risk")).alias("risk")
     )
-
-
-def stub_model(step: int) -> Callable[[], Model]:
-    """A deterministic model for tests: logits from the text length."""
-
-    def load() -> Model:
-        def predict(symbols: pd.Series, summaries: pd.Series) -> list[list[float]]:
-            sizes = summaries.str.len() + symbols.str.len()
-            return [[float((int(n) * (k + step)) % 17) / 4.0 for k in range(5)] for n in sizes]
-
-        return predict
-
-    return load

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.functions.dates import compact_date, quarter_end_code
-from tickerloom.operators.project import union_by_name
+from tickerloom.operators.project import project_keyword_columns, union_by_name
 
 # Statement names and the column keywords of the six reports.
 PROFIT, BALANCE, CASH = "利润表", "资产负债表", "现金流量表"
@@ -26,7 +26,7 @@ KEYWORDS = {
     "operation": ["营业收入", "应收", "存货", "流动资产", "资产总计"],
     "dupont": ["营业收入", "净利润", "资产总计", "所有者权益"],
 }
-REPORT_DATE, REPORT_TYPE = "报告日", "报表"
+REPORT_DATE, REPORT_TYPE, UPDATED = "报告日", "报表", "更新日期"
 
 
 def with_target(requests: DataFrame) -> DataFrame:
@@ -34,17 +34,17 @@ def with_target(requests: DataFrame) -> DataFrame:
 
 
 def asof_statement(statement: DataFrame, requests: DataFrame) -> DataFrame:
-    """The statement row dated on the target, else the newest one before it; no row when there is none."""
+    """One statement row per request: dated on the target, else the newest before it; none when there is none.
+
+    Of several reports of one date (a restatement) the one updated last counts. The statement is read once.
+    """
     keys = requests.select("code", "target").distinct()
-    dates = statement.select("code", compact_date(F.col(REPORT_DATE)).alias("_date"))
-    chosen = (
-        keys.join(dates, "code")
-        .where(F.col("_date") <= F.col("target"))
-        .groupBy("code", "target")
-        .agg(F.max("_date").alias("_date"))
-    )
-    found = statement.withColumn("_date", compact_date(F.col(REPORT_DATE))).join(chosen, ["code", "_date"]).drop("_date")
-    return requests.join(found, ["code", "target"])
+    updated = F.col(f"`{UPDATED}`") if UPDATED in statement.columns else F.lit(None).cast("string")
+    dated = statement.withColumns({"_date": compact_date(F.col(REPORT_DATE)), "_updated": updated})
+    columns = [c for c in statement.columns if c != "code"]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct("_date", "_updated", F.xxhash64(*[F.col(f"`{c}`") for c in columns])))
+    chosen = keys.join(dated, "code").where(F.col("_date") <= F.col("target")).groupBy("code", "target").agg(newest.alias("_row"))
+    return requests.join(chosen, ["code", "target"]).select(*requests.columns, *[F.col(f"_row.`{c}`") for c in columns])
 
 
 def statement_at(statement: DataFrame, code: str | None, year: int, quarter: int) -> DataFrame:
@@ -168,3 +168,22 @@ def dividend_yield(dividends: DataFrame, bars: DataFrame) -> DataFrame:
         "code", "last_close", F.coalesce("cash", F.lit(0.0)).alias("cash"),
         (F.coalesce("cash", F.lit(0.0)) / F.col("last_close") * 100).alias("dividend_yield"),
     )
+
+
+#: Reports that compare with the year before, and the statement of each single-period report.
+TWO_PERIODS = ("growth", "operation", "dupont")
+STATEMENT_OF = {"profit": PROFIT, "balance": BALANCE, "cash_flow": CASH}
+
+
+def statement_report(kind: str, statements: Mapping[str, DataFrame], requests: DataFrame, most: int | None = None) -> DataFrame:
+    """One of the reports named in ``KEYWORDS`` for every request (``code``, ``y``, ``q``), with the columns its keywords pick.
+
+    ``profit``, ``balance`` and ``cash_flow`` take their statement at the requested quarter, else the newest before it. The
+    others stack all statements at that quarter and a year before. ``most`` bounds the picked columns, if given.
+    """
+    if kind in TWO_PERIODS:
+        found, keep = two_period_reports(statements, requests), ["code", "request_year", "q", "report_year", REPORT_TYPE]
+    else:
+        found, keep = asof_statement(statements[STATEMENT_OF[kind]], with_target(requests)), ["code", "y", "q"]
+        found = found.drop("target")
+    return project_keyword_columns(found, KEYWORDS[kind], keep=keep, most=most)

@@ -10,7 +10,7 @@ from tickerloom.functions import text as tx
 from tickerloom.operators import dedup, news, scoring
 from tickerloom.plans.registry import query
 from tickerloom.plans.shape import final
-from tickerloom.session import scratch_path, spread
+from tickerloom.session import redistribute, scratch_path
 from tickerloom.sources import files
 
 
@@ -72,7 +72,7 @@ EQUAL = "len(list_filter(list_zip(x.sig, y.sig), lambda z: z[1] = z[2])) / 128.0
 
 
 def items(t):
-    return news.news_items(t.v_news)
+    return news.news_items(redistribute(t.v_news, "original_index"))
 
 
 def items_of(t):
@@ -151,7 +151,7 @@ def news_item_build(t):
 
 @query("text_normalize", f"""SELECT doc_id, length({norm('text')}) AS n, md5({norm('text')}) AS digest FROM documents""")
 def text_normalize(t):
-    df = spread(t.documents, "doc_id").select("doc_id", tx.normalize(F.col("text")).alias("x"))
+    df = redistribute(t.documents, "doc_id").select("doc_id", tx.normalize(F.col("text")).alias("x"))
     return df.select("doc_id", F.length("x").alias("n"), F.md5("x").alias("digest"))
 
 
@@ -386,11 +386,24 @@ def _probability_sql(alias: str, k: int) -> str:
     return f"round(exp({alias}.lg[{k}] - list_max({alias}.lg)) / {total}, 4)"
 
 
+def stub_model(step: int):
+    """Stands for a user's model in the query below: logits from the text length."""
+
+    def load():
+        def predict(symbols, summaries):
+            sizes = summaries.str.len() + symbols.str.len()
+            return [[float((int(n) * (k + step)) % 17) / 4.0 for k in range(5)] for n in sizes]
+
+        return predict
+
+    return load
+
+
 @query("score_news_batch", f"""SELECT x.doc_id, {_best_sql('x')} AS sentiment, {_best_sql('y')} AS risk,
 {_probability_sql('x', 5)} AS p_sentiment_5, {_probability_sql('y', 1)} AS p_risk_1 FROM {_stub_sql(3)} x JOIN {_stub_sql(7)} y USING (doc_id)""")
 def score_news_batch(t):
     rows = t.documents.select("doc_id", F.col("source").alias("stock_symbol"), F.col("text").alias("summary"))
-    scored = scoring.score_news(rows, scoring.stub_model(3), scoring.stub_model(7))
+    scored = scoring.score_news(rows, stub_model(3), stub_model(7))
     return scored.select(
         "doc_id", F.col("sentiment.score").alias("sentiment"), F.col("risk.score").alias("risk"),
         F.col("sentiment.probabilities")["5"].alias("p_sentiment_5"), F.col("risk.probabilities")["1"].alias("p_risk_1"),

@@ -147,7 +147,7 @@ def rsi14(t):
 def _ema_sql(value: str, span: int, src: str) -> str:
     d = 1 - 2.0 / (span + 1)
     return f"""(SELECT a.code, a.rn, sum(b.{value} * pow({d!r}, a.rn - b.rn)) / sum(pow({d!r}, a.rn - b.rn)) AS e
-  FROM {src} a JOIN {src} b ON a.code = b.code AND b.rn BETWEEN a.rn - 99 AND a.rn GROUP BY a.code, a.rn)"""
+  FROM {src} a JOIN {src} b ON a.code = b.code AND b.rn <= a.rn GROUP BY a.code, a.rn)"""
 
 
 @query("macd", f"""WITH {BARS}, seqd AS (SELECT code, date, close, row_number() OVER (PARTITION BY code ORDER BY date) AS rn FROM bars),
@@ -155,7 +155,7 @@ difs AS (SELECT s.code, s.date, s.rn, f.e - w.e AS dif FROM seqd s JOIN {_ema_sq
 SELECT d.code, strftime(d.date, '%Y-%m-%d') AS date, round(dif, 4) AS dif, round(g.e, 4) AS dea, round((dif - g.e) * 2, 4) AS macd
 FROM difs d JOIN {_ema_sql('dif', 9, 'difs')} g USING (code, rn)""")
 def macd(t):
-    return final(indicators.macd(bars_of(t)).select("code", "date", "dif", "dea", "macd"), 4)
+    return final(indicators.macd(bars_of(t).select("code", "date", "close")).select("code", "date", "dif", "dea", "macd"), 4)
 
 
 @query("support_resistance", f"""WITH {BARS} SELECT code, strftime(date, '%Y-%m-%d') AS date,
@@ -259,7 +259,7 @@ def industry_count(t):
 
 
 @query("empty_is_nodata", """SELECT r.code, CASE WHEN f.code IS NULL THEN 'unavailable' ELSE 'ok' END AS status,
-CASE WHEN f.code IS NULL THEN 'dividend data has no verified Sina endpoint on this server; continue with available tools.' ELSE '' END AS message
+CASE WHEN f.code IS NULL THEN 'dividend data is not available for this request.' ELSE '' END AS message
 FROM (SELECT DISTINCT plain_code AS code FROM v_instruments) r LEFT JOIN (SELECT DISTINCT code FROM v_dividends WHERE year("dividPlanDate") = 1998) f ON f.code = r.code""")
 def empty_is_nodata(t):
     requested = t.v_instruments.select(F.col("plain_code").alias("code"))

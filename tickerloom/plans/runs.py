@@ -86,16 +86,18 @@ def last_ai_message(t):
     return runs.last_answer(t.conversations).withColumn("output", F.md5("output"))
 
 
-@query("messages_to_transcript", """SELECT conv_id, turn // 4096 AS part, md5(coalesce(regexp_replace(string_agg(CASE role WHEN 'user' THEN 'User: ' || text WHEN 'assistant' THEN 'Assistant: ' || text END, chr(10) ORDER BY turn), '^\\s+|\\s+$', '', 'g'), '')) AS transcript,
-md5(any_value(sys)) AS system_text FROM conversations LEFT JOIN (SELECT conv_id, arg_max(text, turn) AS sys FROM conversations WHERE role = 'system' GROUP BY conv_id) s USING (conv_id) GROUP BY conv_id, part""")
+@query("messages_to_transcript", """SELECT conv_id, md5(coalesce(regexp_replace(string_agg(CASE role WHEN 'user' THEN 'User: ' || text WHEN 'assistant' THEN 'Assistant: ' || text END, chr(10) ORDER BY turn), '^\\s+|\\s+$', '', 'g'), '')) AS transcript,
+md5(any_value(sys)) AS system_text FROM conversations LEFT JOIN (SELECT conv_id, arg_max(text, turn) AS sys FROM conversations WHERE role = 'system' GROUP BY conv_id) s USING (conv_id) GROUP BY conv_id""")
 def messages_to_transcript(t):
-    return runs.transcripts(t.conversations).select("conv_id", "part", F.md5("transcript").alias("transcript"), F.md5("system_text").alias("system_text"))
+    return runs.transcripts(t.conversations).select("conv_id", F.md5("transcript").alias("transcript"), F.md5("system_text").alias("system_text"))
 
 
 @query("append_messages", """SELECT conv_id, turn, role, md5(text) AS text FROM conversations
-UNION ALL SELECT conv_id, max(turn) + 1, 'assistant', md5('新闻分析已完成') FROM conversations GROUP BY conv_id""")
+UNION ALL SELECT conv_id, max(turn) + 1, 'assistant', md5('新闻分析已完成') FROM conversations GROUP BY conv_id
+UNION ALL SELECT DISTINCT -1 - conv_id, 0, 'assistant', md5('新闻分析已完成') FROM conversations""")
 def append_messages(t):
-    done = t.conversations.select("conv_id").distinct().select(
+    known = t.conversations.select("conv_id").distinct()
+    done = known.unionByName(known.select((-1 - F.col("conv_id")).alias("conv_id"))).select(  # half of them have no messages yet
         "conv_id", F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.lit("新闻分析已完成").alias("text")
     )
     return runs.append_messages(t.conversations, done).withColumn("text", F.md5("text"))

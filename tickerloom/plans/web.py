@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions import dates, report_text, request, web
 from tickerloom.plans.registry import query
-from tickerloom.session import spread
+from tickerloom.session import redistribute
 
 
 def visible(x: str) -> str:
@@ -27,7 +27,7 @@ p AS (SELECT page_id, list_slice(string_split(regexp_replace(regexp_replace(scop
 x AS (SELECT page_id, list_filter(list_transform(pieces, lambda q: {visible("split_part(q, chr(2), 1)")}), lambda q: length(q) > 30) AS texts FROM p)
 SELECT page_id, length(array_to_string(texts, ' ')) AS n, md5(array_to_string(texts, ' ')) AS digest FROM x""")
 def html_paragraphs(t):
-    df = spread(t.pages, "page_id").select("page_id", web.paragraphs(F.col("html")).alias("x"))
+    df = redistribute(t.pages, "page_id").select("page_id", web.paragraphs(F.col("html")).alias("x"))
     return df.select("page_id", F.length("x").alias("n"), F.md5("x").alias("digest"))
 
 
@@ -51,7 +51,7 @@ def linked_pages(t):
     opened = F.concat(F.lit('<h3 class="'), kind, F.lit('"><a href="'), raw_link(), F.lit('">'))
     html = F.replace(F.replace(F.col("html"), F.lit("<h1>"), opened), F.lit("</h1>"), F.lit("</a></h3>"))
     tail = F.when(F.col("page_id") % 5 == 0, '<h3><a href="/more">More <b>of</b> this</a></h3>').otherwise("<h3>no link</h3>")
-    return spread(t.pages, "page_id").select("page_id", F.concat(html, tail).alias("html"))
+    return redistribute(t.pages, "page_id").select("page_id", F.concat(html, tail).alias("html"))
 
 
 BLOCKS = f"""WITH k AS (SELECT page_id, list_filter(regexp_extract_all(html, '(?is)<h3(?:\\s[^>]*)?>.*?</h3>'), lambda b: regexp_matches(b, '(?i)<a[\\s>]')) AS linked FROM {LINKED_SQL}),
@@ -79,7 +79,7 @@ def html_abstract(t):
     inner = F.regexp_extract("html", r"(?is)<article[^>]*>(.*)</article>", 1)
     extra = F.when(F.col("page_id") % 6 == 0, F.concat(F.lit('<div class="c-abstract">Short <b>summary</b> '), F.col("page_id").cast("string"), F.lit("</div>"))).otherwise("")
     title = web.visible_text(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1))
-    df = spread(t.pages, "page_id").select("page_id", F.concat(inner, extra).alias("parent"), title.alias("title"))
+    df = redistribute(t.pages, "page_id").select("page_id", F.concat(inner, extra).alias("parent"), title.alias("title"))
     return df.select("page_id", web.abstract(F.col("parent"), F.col("title")).alias("abstract"))
 
 
@@ -137,7 +137,7 @@ def cut_after_marker(t):
         .when(F.col("doc_id") % 5 == 3, F.concat(F.lit("see "), piece(1)))
         .otherwise("no time")
     )
-    reports = spread(t.documents, "doc_id").select("doc_id", "text", info.alias("info")).select(
+    reports = redistribute(t.documents, "doc_id").select("doc_id", "text", info.alias("info")).select(
         "doc_id", "info", F.concat("text", F.lit("\n"), line, F.lit("\ntail "), "text").alias("report")
     )
     df = reports.select("doc_id", report_text.cut_after_marker(F.col("report"), F.col("info")).alias("x"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,10 +26,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (unit tests, single machine) is a local one made,
-    and it is then set on the context so that ``checkpoint()`` uses it as well.
+    Only a session on one machine may name none (tests): a local folder is then made and set on the context, so that
+    ``checkpoint()`` uses it as well. On a cluster that would be another folder on every executor, so it is an error.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if configured:
@@ -36,6 +37,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"name a folder that all executors share in {CHECKPOINT_DIR}; the master is {master}")
     made = tempfile.mkdtemp(prefix="tickerloom-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -52,27 +56,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _bytes(spark: SparkSession, key: str, default: int) -> int:
-    text = str(spark.conf.get(key, str(default))).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    digits = text.rstrip("bkmg")
-    unit = text[len(digits):].replace("b", "")
-    return int(digits) * units.get(unit, 1)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy row work all cores when the input is too small to arrive in that many splits.
-
-    The size is the optimizer's estimate, so nothing runs. Inputs of at least one split per core,
-    and inputs of unknown size, pass unchanged and without a shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    small = size < cores * _bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
-    return df.repartition(cores, key) if small else df
-
-
 def redistribute(df: DataFrame, key: str) -> DataFrame:
     """Hash rows over all shuffle partitions ahead of CPU-heavy work; a set number keeps small ones apart."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

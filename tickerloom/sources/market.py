@@ -105,6 +105,6 @@ def money_supply_year(table: DataFrame, start: str | None = None, end: str | Non
 
 
 def peers(industries: DataFrame) -> DataFrame:
-    """Each instrument with the number of instruments in its industry; no pairs are formed."""
+    """Each instrument with the number of instruments in its industry (null without one); no pairs are formed."""
     counts = industries.groupBy("industry").agg(F.count("*").alias("peer_count"))
-    return industries.join(counts, "industry")
+    return industries.join(counts, "industry", "left")
