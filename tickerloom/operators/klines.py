@@ -79,32 +79,31 @@ def with_preclose(bars: DataFrame) -> DataFrame:
     )
 
 
-def adjust(bars: DataFrame, factors: DataFrame, flag: str) -> DataFrame:
-    """Prices times the factor in force on the bar date; forward form divides by the latest factor.
+def with_scales(bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """``bars`` with ``backward``, the factor in force on the bar date, and ``forward``, that over the latest factor.
 
     The factor is carried along the code's date order with one window over bars and factor rows, so
     no bar x factor pairs are formed. Bars before the first factor use 1.
     """
-    if flag == ADJUST_NONE:
-        return bars
-    prices = [c for c in ("open", "high", "low", "close") if c in bars.columns]
     stacked = bars.withColumn("_bar", F.lit(1)).unionByName(
         factors.select("code", F.col("dividOperateDate").alias("date"), F.col("factor").alias("_factor"), F.lit(0).alias("_bar")),
         allowMissingColumns=True,
     )
     ordered = W.partitionBy("code").orderBy("date", "_bar")
     carried = F.last("_factor", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0))
-    latest = F.last("_factor", ignorenulls=True).over(
-        ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    )
+    latest = F.last("_factor", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     in_force = F.coalesce("_carried", F.lit(1.0))
-    scale = in_force / F.coalesce("_latest", F.lit(1.0)) if flag == ADJUST_FORWARD else in_force
-    return (
-        stacked.withColumn("_carried", carried)
-        .withColumn("_latest", latest)
-        .where("_bar = 1")
-        .select(*[(F.col(c) * scale).alias(c) if c in prices else F.col(c) for c in bars.columns])
-    )
+    scales = [in_force.alias("backward"), (in_force / F.coalesce("_latest", F.lit(1.0))).alias("forward")]
+    return stacked.withColumn("_carried", carried).withColumn("_latest", latest).where("_bar = 1").select(*bars.columns, *scales)
+
+
+def adjust(bars: DataFrame, factors: DataFrame, flag: str) -> DataFrame:
+    """Prices times the factor in force on the bar date; the forward form divides by the latest factor."""
+    if flag == ADJUST_NONE:
+        return bars
+    prices = [c for c in ("open", "high", "low", "close") if c in bars.columns]
+    scale = F.col("forward" if flag == ADJUST_FORWARD else "backward")
+    return with_scales(bars, factors).select(*[(F.col(c) * scale).alias(c) if c in prices else F.col(c) for c in bars.columns])
 
 
 def klines(

@@ -69,22 +69,23 @@ def classification_report(rows: DataFrame) -> DataFrame:
             *[F.struct(F.lit(str(x)).alias("label"), tp[x].alias("tp"), predicted[x].alias("predicted"), support[x].alias("support")) for x in LABELS]
         ).alias("rows")
     )
-    each = counted.select(F.inline("rows"))
-    scored = _scores(each)
-    micro = _scores(each.agg(F.lit("micro avg").alias("label"), *[F.sum(c).alias(c) for c in ("tp", "predicted", "support")]))
-    names = ("precision", "recall", "f1")
-    macro = scored.agg(F.lit("macro avg").alias("label"), *[F.avg(c).alias(c) for c in names], F.sum("support").alias("support"))
-    weighted = scored.agg(
-        F.lit("weighted avg").alias("label"),
-        *[_safe(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in names],
-        F.sum("support").alias("support"),
+    total = lambda rows, part: F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + part(r))
+    sums = F.struct(
+        F.lit("micro avg").alias("label"),
+        *[total(F.col("rows"), lambda r, c=c: r[c]).cast("long").alias(c) for c in ("tp", "predicted", "support")],
     )
-    return scored.unionByName(micro).unionByName(macro).unionByName(weighted)
-
-
-def _scores(counts: DataFrame) -> DataFrame:
-    rated = counts.withColumn("precision", _safe(F.col("tp"), F.col("predicted"))).withColumn(
-        "recall", _safe(F.col("tp"), F.col("support"))
+    # one row until here; the means are taken over its five labels, so the input is read once
+    scored = counted.select(F.transform("rows", _scores).alias("each"), _scores(sums).alias("micro"))
+    names, support = ("precision", "recall", "f1"), total(F.col("each"), lambda r: r["support"])
+    macro = [(total(F.col("each"), lambda r, c=c: r[c]) / F.size("each")).alias(c) for c in names]
+    weighted = [_safe(total(F.col("each"), lambda r, c=c: r[c] * r["support"]), support).alias(c) for c in names]
+    means = [F.struct(F.lit(n).alias("label"), *v, support.cast("long").alias("support")) for n, v in (("macro avg", macro), ("weighted avg", weighted))]
+    return scored.select(F.inline(F.concat("each", F.array("micro", *means))))
+
+
+def _scores(counts: Column) -> Column:
+    precision, recall = _safe(counts["tp"], counts["predicted"]), _safe(counts["tp"], counts["support"])
+    f1 = _safe(2 * precision * recall, precision + recall)
+    return F.struct(
+        counts["label"].alias("label"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), counts["support"].cast("long").alias("support")
     )
-    f1 = _safe(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return rated.withColumn("f1", f1).select("label", "precision", "recall", "f1", "support")

@@ -316,7 +316,11 @@ def dedup_stats(t):
     return dedup.dedup_stats(items(t), dedup.deduplicate(items(t), items_of=items_of(t)).dropped)
 
 
-@query("dedup_corpus", EDGES + " SELECT original_index, md5(doc) AS doc, title, labels, stock_symbol FROM items WHERE original_index NOT IN (SELECT original_index FROM gone)")
+CORPUS = EDGES + " SELECT original_index, md5(doc) AS doc, title, labels, stock_symbol FROM items WHERE original_index NOT IN (SELECT original_index FROM gone)"
+
+
+@query("dedup_pipeline", CORPUS)
+@query("dedup_corpus", CORPUS)  # the earlier name of the same chain
 def dedup_corpus(t):
     """CSV to normalised items to kept items to JSON lines, read back."""
     rows = files.read_csv(t.spark, news_csv(t), files.NEWS_CSV)

@@ -93,9 +93,8 @@ SELECT b.code, strftime(b.date, '%Y-%m-%d') AS date, round(b.close * coalesce(f.
 FROM bars b ASOF LEFT JOIN v_factors f ON b.code = f.code AND b.date >= f."dividOperateDate" LEFT JOIN latest l ON l.code = b.code""")
 def prices_adjusted(t):
     bars = bars_of(t).select("code", "date", "close")
-    backward = klines.adjust(bars, t.v_factors, klines.ADJUST_BACKWARD).withColumnRenamed("close", "backward")
-    forward = klines.adjust(bars, t.v_factors, klines.ADJUST_FORWARD).withColumnRenamed("close", "forward")
-    return final(backward.join(forward, ["code", "date"]), 8)
+    scaled = klines.with_scales(bars, t.v_factors)
+    return final(scaled.select("code", "date", (F.col("close") * F.col("backward")).alias("backward"), (F.col("close") * F.col("forward")).alias("forward")), 8)
 
 
 @query("price_change_pct", f"""WITH {BARS}, span AS (SELECT *, max(date) OVER (PARTITION BY code) AS newest FROM bars)
@@ -224,7 +223,7 @@ def scan_industry(t):
 @query("scan_index_members", """SELECT index_name, code, code_name, strftime("updateDate", '%Y-%m-%d') AS "updateDate" FROM v_members
 WHERE "updateDate" <= DATE '2000-07-15' QUALIFY rank() OVER (PARTITION BY index_name ORDER BY "updateDate" DESC) = 1""")
 def scan_index_members(t):
-    return final(project.union_by_name([market.index_members(t.v_members, name, "2000-07-15") for name in market.INDEXES]))
+    return final(market.snapshot(t.v_members, ["index_name"], "2000-07-15", few_keys=True).select("index_name", "code", "code_name", "updateDate"))
 
 
 @query("scan_macro_series", """SELECT series, period, value FROM (
