@@ -435,3 +435,11 @@ def test_simhash_and_counts_of_a_long_text(spark):
     assert len(row.c) == 5000 and set(row.c.values()) == {4}
     low = [int.from_bytes(hashlib.md5(w.encode()).digest()[8:], "big") for w in words]
     assert row.s % 2**64 == sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in low) > len(low))
+
+
+def test_scans_per_plan(spark, sf_dir):
+    from tickerloom.plans import catalog
+
+    most = {"sample_balanced": 8, "classification_report": 4, "scan_index_members": 2, "two_period_reports": 6, "prices_adjusted": 2}
+    found = {n: catalog.queries()[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().count("FileScan") for n in most}
+    assert {n: found[n] for n in most if found[n] > most[n]} == {}

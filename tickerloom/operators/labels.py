@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerloom.operators.ranking import seeded, with_rank
+from tickerloom.session import materialize
 
 # Score range, default symbol, least rows, rows of the older path and its split.
 LOWEST, HIGHEST = 1, 5
@@ -118,12 +119,17 @@ def select_by_id(rows: DataFrame, selected: DataFrame) -> DataFrame:
 
 
 def sample_balanced(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """Equal quotas per label, the shortfall filled from the rest, the whole shuffled."""
-    flagged = _by_quota(rows, n, seed)
-    chosen = flagged.where("_chosen").select(*rows.columns)
+    """Equal quotas per label, the shortfall filled from the rest, the whole shuffled.
+
+    Ranks need ids and labels alone: those are read once and stored between the steps, and the other columns
+    are joined to the ids picked at the end.
+    """
+    ids = materialize(rows.select("row_id", "label"), "ids")
+    flagged = materialize(_by_quota(ids, n, seed), "flagged")
     rest = with_rank(flagged.where("NOT _chosen"), seeded(seed, "row_id"), "row_id", "_fill", at_most=n)
-    filled = rest.where(F.col("_fill") <= F.col("shortfall")).select(*rows.columns)
-    return shuffled(chosen.unionByName(filled), seed)
+    filled = rest.where(F.col("_fill") <= F.col("shortfall")).select("row_id")
+    picked = materialize(flagged.where("_chosen").select("row_id").unionByName(filled), "picked")
+    return rows.join(shuffled(picked, seed), "row_id").select(*rows.columns, "shuffle_pos")
 
 
 def select_rows(rows: DataFrame, n: int, mode: str, seed: int) -> DataFrame:

@@ -7,7 +7,7 @@ meets at most its own quarters; the result is joined back to the requests on the
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -33,18 +33,20 @@ def with_target(requests: DataFrame) -> DataFrame:
     return requests.withColumn("target", quarter_end_code(F.col("y"), F.col("q")))
 
 
-def asof_statement(statement: DataFrame, requests: DataFrame) -> DataFrame:
+def asof_statement(statement: DataFrame, requests: DataFrame, kinds: Sequence[str] = ()) -> DataFrame:
     """One statement row per request: dated on the target, else the newest before it; none when there is none.
 
+    With ``kinds`` the statement holds several stacked ones, told apart by those columns, and each gives a row.
+
     Of several reports of one date (a restatement) the one updated last counts. The statement is read once.
     """
     keys = requests.select("code", "target").distinct()
     updated = F.col(f"`{UPDATED}`") if UPDATED in statement.columns else F.lit(None).cast("string")
     dated = statement.withColumns({"_date": compact_date(F.col(REPORT_DATE)), "_updated": updated})
-    columns = [c for c in statement.columns if c != "code"]
+    columns = [c for c in statement.columns if c not in ("code", *kinds)]
     newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct("_date", "_updated", F.xxhash64(*[F.col(f"`{c}`") for c in columns])))
-    chosen = keys.join(dated, "code").where(F.col("_date") <= F.col("target")).groupBy("code", "target").agg(newest.alias("_row"))
-    return requests.join(chosen, ["code", "target"]).select(*requests.columns, *[F.col(f"_row.`{c}`") for c in columns])
+    chosen = keys.join(dated, "code").where(F.col("_date") <= F.col("target")).groupBy("code", "target", *kinds).agg(newest.alias("_row"))
+    return requests.join(chosen, ["code", "target"]).select(*requests.columns, *kinds, *[F.col(f"_row.`{c}`") for c in columns])
 
 
 def statement_at(statement: DataFrame, code: str | None, year: int, quarter: int) -> DataFrame:
@@ -61,14 +63,10 @@ def two_period_reports(statements: Mapping[str, DataFrame], requests: DataFrame)
         .withColumn("report_year", F.col("y") - F.col("_back"))
         .select("code", F.col("y").alias("request_year"), F.col("report_year").alias("y"), "q")
     ).withColumnRenamed("y", "report_year")
-    parts = [
-        asof_statement(table, wanted).select(
-            "code", "request_year", "q", "report_year", F.lit(kind).alias(REPORT_TYPE),
-            *[F.col(f"`{c}`") for c in table.columns if c != "code"],
-        )
-        for kind, table in statements.items()
-    ]
-    return union_by_name(parts)
+    stacked = union_by_name([table.withColumn(REPORT_TYPE, F.lit(kind)) for kind, table in statements.items()])
+    found = asof_statement(stacked, wanted, [REPORT_TYPE])
+    lead = ["code", "request_year", "q", "report_year", REPORT_TYPE]
+    return found.select(*lead, *[F.col(f"`{c}`") for c in stacked.columns if c not in lead])
 
 
 def _ratio(a: Column, b: Column) -> Column:
