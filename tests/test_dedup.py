@@ -133,3 +133,24 @@ def test_normalize_equals_python(spark, raw):
 def test_segmenter_words_emit_spaces(spark):
     df = spark.createDataFrame([("Up 3.5 now... ok,分析师",)], "t string")
     assert df.select(tx.segmenter_words(F.col("t")).alias("w")).first().w == ["Up", " ", "3.5", " ", "now", "...", " ", "ok", ",", "分析", "师"]
+
+
+def test_crowd_of_different_texts_forms_no_pairs(spark, monkeypatch):
+    """One title and the same words in other order: equal SimHash and title, different shingles."""
+    rng = random.Random(6)
+    words = [rng.choice(VOCABULARY) for _ in range(60)]
+    rows = [(i, "one title for all", normalize(" ".join(rng.sample(words, len(words))))) for i in range(300)]
+    kept, _ = serial_kept(rows)
+    compared = []
+    stored = dedup.materialize
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "titles":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(dedup, "materialize", counted)
+    outcome = dedup.deduplicate(spark.createDataFrame(rows, SCHEMA))
+    assert {r[0] for r in rows} - {r.original_index for r in outcome.dropped.collect()} == kept
+    assert sum(compared) < len(rows)

@@ -120,19 +120,33 @@ def first_pick(a: Column, b: Column) -> Column:
     return F.coalesce(*[F.when(differing.bitwiseAND(F.lit(m).cast("long")) == 0, i) for i, m in enumerate(block_masks())])
 
 
-def leading(undecided: DataFrame, leaders: int) -> DataFrame:
-    """Rows that lead their key: all of a key with up to ``leaders`` rows, the first few of a larger one.
+def leading(undecided: DataFrame, leaders: int, few: int) -> DataFrame:
+    """Rows that lead their key: all of a key with up to ``leaders`` rows, the first ``few`` of a larger one.
 
     The limit is applied per partition before the shuffle and bounds what a key can bring together.
-    Large keys are mostly crowds of copies, which a few leaders clear.
     """
     rank = F.row_number().over(W.partitionBy("key").orderBy("original_index"))
     size = F.count("*").over(W.partitionBy("key"))
-    few = max(1, leaders // 16)
     first = undecided.withColumn("_rank", rank).where(F.col("_rank") <= leaders + 1).withColumn("_size", size)
     return first.where((F.col("_size") <= leaders) | (F.col("_rank") <= few)).drop("_rank", "_size")
 
 
+def band_keys(items: DataFrame, simhashes: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
+    """Key rows by MinHash bands. A pair above the content threshold differs in too few positions to differ in all bands.
+
+    More than three quarters of 128 equal positions leave 31 unequal ones at most, and there are 32 bands of four.
+    """
+    rows = tx.PERMUTATIONS // (int(tx.PERMUTATIONS * (1 - tx.CONTENT_THRESHOLD)) or 1)
+    bands = tx.PERMUTATIONS // rows
+    doc = items.select("original_index", tx.clean(F.col("doc")).alias("doc2"))
+    signed_ = redistribute(doc, "original_index").select("original_index", tx.minhash(tx.shingles(F.col("doc2"), cut=cut)).alias("sig"))
+    keys = F.transform(
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda i: F.struct(i.alias("pick"), F.xxhash64(i, F.array_join(F.slice("sig", i * rows + 1, rows), "")).alias("key")),
+    )
+    return signed_.join(simhashes, "original_index").select("original_index", "simhash", F.lit(bands).alias("n_keys"), F.inline(keys))
+
+
 def compared(items: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
     """Per item the compared text and title, title token counts and SimHash.
 
@@ -255,11 +269,12 @@ def deduplicate(
     rounds = 0
     while True:
         rounds += 1
-        front = materialize(leading(undecided, leaders), "leaders")
+        # in the first round nothing leads a crowded key: what meets there is told apart by content first
+        front = materialize(leading(undecided, leaders, few=0 if rounds == 1 else max(1, leaders // 16)), "leaders")
         lead, member = front.alias("l"), members.alias("m")
-        close = (tx.hamming(F.col("l.simhash"), F.col("m.simhash")) <= tx.SIMHASH_THRESHOLD) & (
-            first_pick(F.col("l.simhash"), F.col("m.simhash")) == F.col("l.pick")
-        )
+        close = tx.hamming(F.col("l.simhash"), F.col("m.simhash")) <= tx.SIMHASH_THRESHOLD
+        if rounds == 1:  # a pair is formed once; by bands it may meet several times
+            close &= first_pick(F.col("l.simhash"), F.col("m.simhash")) == F.col("l.pick")
         candidates = (
             lead.join(member, (F.col("l.key") == F.col("m.key")) & (F.col("l.original_index") < F.col("m.original_index")) & close)
             .select(F.col("l.original_index").alias("a"), F.col("m.original_index").alias("b"))
@@ -282,6 +297,15 @@ def deduplicate(
         undecided = materialize(rest, "keys")
         if undecided.isEmpty():
             break
+        if rounds == 1:
+            crowd = undecided.select("original_index").distinct()
+            if with_matches:  # settled ones take part as possible matches
+                others = keys.join(kept, "original_index", "left_anti").select("original_index").distinct()
+            else:
+                others = crowd
+            banded = materialize(band_keys(items_of(others), nodes.select("original_index", "simhash"), cut), "bands")
+            undecided, members = banded.join(crowd, "original_index", "left_semi"), banded
+            continue
         members = members.join(kept, "original_index", "left_anti") if with_matches else undecided
         leaders *= 4
 
