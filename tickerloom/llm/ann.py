@@ -52,9 +52,9 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit(sample: np.ndarray, lists: int, k: int = K, target: float = TARGET, seed: int = 5) -> tuple[np.ndarray, int]:
     """Centroids by Lloyd's rounds, and the number of lists to probe."""
-    lists = max(1, min(lists, len(np.unique(sample, axis=0))))
-    chosen = np.random.default_rng(seed)
-    centroids = np.unique(sample, axis=0)[chosen.permutation(len(np.unique(sample, axis=0)))[:lists]].astype(float)
+    different = np.unique(sample, axis=0)
+    lists = max(1, min(lists, len(different)))
+    centroids = different[np.random.default_rng(seed).permutation(len(different))[:lists]].astype(float)
     for _ in range(8):
         near = _squares(sample, centroids).argmin(1)
         for i in np.unique(near):
@@ -120,9 +120,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
 
 def usable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
     """Rows with a key and a finite non-zero vector of the commonest length (the shorter of equals), and that length."""
-    v = F.col(vector)
-    finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where("id is not null and v is not null")
+    good = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null and v is not null")
     v = F.col("v")
     finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = good.where(finite & F.exists(v, lambda x: x != 0))
@@ -156,20 +154,24 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
     kind = good.schema["v"].dataType.simpleString()
     index = materialize(good.mapInArrow(assign, f"list int, id long, v {kind}"), "index")
     sizes = {r[0]: r[1] for r in index.groupBy("list").count().collect()}  # at most MOST_LISTS rows
-    cuts = np.array([max(1, -(-sizes.get(i, 0) // BLOCK)) for i in range(len(centroids))])
+    held = np.array([sizes.get(i, 0) for i in range(len(centroids))])
+    cuts = np.maximum(1, -(-held // BLOCK))
     queries = index.where(is_query(F.col("id")))
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
 
     def probe(batches):
         for batch in small_batches(batches, 1024):
             ids = batch.column(0).to_numpy()
-            near = _squares(_matrix(batch.column(1), size), centroids).argsort(1)[:, :probes]
+            near = _squares(_matrix(batch.column(1), size), centroids).argsort(1)
+            # more lists are probed where the usual number holds too few rows for k neighbours
+            needed = np.maximum(probes, (np.cumsum(held[near], axis=1) <= k + 1).sum(axis=1) + 1)
             row, tile = [], []
             for i, of in enumerate(near.tolist()):
-                for at in of:
+                part = int(ids[i]) * 2654435761 % 2**32 % parts
+                for at in of[: needed[i]]:
                     for cut in range(cuts[at]):
                         row.append(i)
-                        tile.append((at << 40) | (cut << 20) | int(ids[i] * 2654435761 % 2**32 % parts))
+                        tile.append((at << 40) | (cut << 20) | part)
             yield batch.take(pa.array(row, pa.int64())).add_column(0, "tile", pa.array(tile, pa.int64()))
 
     asked = queries.select("id", "v").mapInArrow(probe, f"tile long, id long, v {kind}")
