@@ -44,6 +44,30 @@ INTERACTION_LOG = T.StructType(
         T.StructField("performance", T.StructType([T.StructField("execution_time_seconds", T.DoubleType())])),
     ]
 )
+EXECUTION_LOG = T.StructType(
+    [
+        T.StructField("execution_id", T.StringType()),
+        T.StructField("start_timestamp", T.DoubleType()),
+        T.StructField("end_timestamp", T.DoubleType()),
+        T.StructField("total_execution_time_seconds", T.DoubleType()),
+        T.StructField("success", T.BooleanType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
+TOOL_LOG = T.StructType(
+    [
+        T.StructField("execution_id", T.StringType()),
+        T.StructField("agent_name", T.StringType()),
+        T.StructField("tool_name", T.StringType()),
+        T.StructField("output", T.StringType()),
+        T.StructField("execution_time_seconds", T.DoubleType()),
+        T.StructField("success", T.BooleanType()),
+    ]
+)
+REPORT_LOG = T.StructType([T.StructField("execution_id", T.StringType()), T.StructField("report", T.StringType())])
+#: The kinds of documents of a run and their schemas.
+LOGS = {"execution": EXECUTION_LOG, "agents": AGENT_LOG, "interactions": INTERACTION_LOG, "tools": TOOL_LOG, "reports": REPORT_LOG}
 
 
 def status(success: Column) -> Column:
@@ -97,17 +121,39 @@ def tool_logs(events: DataFrame) -> DataFrame:
     )
 
 
-def write_logs(records: DataFrame, path: str) -> None:
-    """One JSON document per record. Run ids stay a field: a folder per run would be millions of small files."""
-    records.write.json(path)
+def execution_logs(events: DataFrame) -> DataFrame:
+    """One record per run, from its first start to its last end; the last event decides on success."""
+    runs = events.groupBy("execution_id").agg(
+        F.min("started").alias("start_timestamp"), F.max("ended").alias("end_timestamp"), F.max_by("success", "turn").alias("success")
+    )
+    return runs.select(
+        "execution_id", "start_timestamp", "end_timestamp", (F.col("end_timestamp") - F.col("start_timestamp")).alias("total_execution_time_seconds"),
+        "success", F.when(~F.col("success"), "failed").alias("error"), status(F.col("success")).alias("status"),
+    )
 
 
-def read_agent_logs(spark, path: str) -> DataFrame:
-    return spark.read.schema(AGENT_LOG).json(path)
+def report_logs(events: DataFrame) -> DataFrame:
+    """The final report of each run: its last answer. Runs without one have no record."""
+    return events.where(F.col("role") == ASSISTANT).groupBy("execution_id").agg(F.max_by("text", "turn").alias("report"))
 
 
-def read_interaction_logs(spark, path: str) -> DataFrame:
-    return spark.read.schema(INTERACTION_LOG).json(path)
+def write_run(events: DataFrame, base: str) -> None:
+    """All five kinds of documents of the runs in ``events``, a folder each below ``base``."""
+    made = {
+        "execution": execution_logs, "agents": agent_logs, "interactions": interaction_logs, "tools": tool_logs, "reports": report_logs,
+    }
+    for kind, build in made.items():
+        write_logs(build(events), f"{base}/{kind}")
+
+
+def read_logs(spark, base: str, kind: str) -> DataFrame:
+    """The documents of one kind below ``base``."""
+    return spark.read.schema(LOGS[kind]).json(f"{base}/{kind}")
+
+
+def write_logs(records: DataFrame, path: str) -> None:
+    """One JSON document per record. Run ids stay a field: a folder per run would be millions of small files."""
+    records.write.json(path)
 
 
 def read_run_folders(spark, base: str) -> DataFrame:
@@ -118,13 +164,7 @@ def read_run_folders(spark, base: str) -> DataFrame:
 
 
 def run_durations(events: DataFrame) -> DataFrame:
-    runs = events.groupBy("execution_id").agg(
-        F.min("started").alias("start_timestamp"), F.max("ended").alias("end_timestamp"), F.max_by("success", "turn").alias("success")
-    )
-    return runs.select(
-        "execution_id", "start_timestamp", (F.col("end_timestamp") - F.col("start_timestamp")).alias("total_execution_time_seconds"),
-        status(F.col("success")).alias("status"),
-    )
+    return execution_logs(events).select("execution_id", "start_timestamp", "total_execution_time_seconds", "status")
 
 
 def run_summary(agents: DataFrame, events: DataFrame) -> DataFrame:
@@ -145,14 +185,19 @@ def run_summary(agents: DataFrame, events: DataFrame) -> DataFrame:
     return joined.withColumn("total_files_created", files).drop("_tool_files")
 
 
-def run_details(durations: DataFrame, agents: DataFrame, events: DataFrame) -> DataFrame:
-    """One row per run with its agents, interactions, tool calls and report; children are aggregated first."""
-    by_agent = agents.groupBy("execution_id").agg(F.count("*").alias("agents"), F.count_if("success").alias("agents_ok"))
-    by_event = events.groupBy("execution_id").agg(
-        F.count("*").alias("interactions"), F.count_if(F.col("role") == USER).alias("tool_calls"),
-        F.max_by(F.length("text"), F.when(F.col("role") == ASSISTANT, F.col("turn"))).alias("report_length"),
-    )
-    return durations.join(by_agent, "execution_id", "left").join(by_event, "execution_id", "left")
+def run_details(spark, base: str) -> DataFrame:
+    """One row per run from its scanned documents: agents, interactions, tool calls and report; children are counted first."""
+    read = lambda kind: read_logs(spark, base, kind)
+    details = read("execution").select("execution_id", "start_timestamp", "total_execution_time_seconds", "status")
+    counted = [
+        read("agents").groupBy("execution_id").agg(F.count("*").alias("agents"), F.count_if("success").alias("agents_ok")),
+        read("interactions").groupBy("execution_id").agg(F.count("*").alias("interactions")),
+        read("tools").groupBy("execution_id").agg(F.count("*").alias("tool_calls")),
+        read("reports").select("execution_id", F.length("report").alias("report_length")),
+    ]
+    for part in counted:
+        details = details.join(part, "execution_id", "left")
+    return details.fillna(0, ["agents", "agents_ok", "interactions", "tool_calls"])
 
 
 def recent_runs(durations: DataFrame, n: int = 10) -> DataFrame:

@@ -27,9 +27,9 @@ length(text)::INT AS content_length, round((ended - started)::DOUBLE, 6) AS seco
 def scan_run_logs(t):
     """Nested interaction documents written as JSON and scanned back with the declared schema."""
     path = scratch_path(t.spark, "interactions")
-    runs.write_logs(runs.interaction_logs(events(t)), path)
+    runs.write_logs(runs.interaction_logs(events(t)), f"{path}/interactions")
     message = F.col("input.messages")[0]
-    return runs.read_interaction_logs(t.spark, path).select(
+    return runs.read_logs(t.spark, path, "interactions").select(
         "execution_id", "interaction_id", "agent_name", message["role"].alias("role"), F.md5(message["content"]).alias("content"),
         "input.message_count", "input.total_input_length", "output.content_length",
         F.round("performance.execution_time_seconds", 6).alias("seconds"),
@@ -41,8 +41,8 @@ CASE WHEN success THEN 'completed' ELSE 'failed' END AS status, CASE WHEN NOT su
 def sink_run_logs(t):
     """Start and completion merged into one document per run and agent, written and read back."""
     path = scratch_path(t.spark, "agents")
-    runs.write_logs(agents(t), path)
-    return runs.read_agent_logs(t.spark, path).select(
+    runs.write_logs(agents(t), f"{path}/agents")
+    return runs.read_logs(t.spark, path, "agents").select(
         "execution_id", "agent_name", F.round("execution_time_seconds", 6).alias("seconds"), "success", "status", "error",
         F.col("input_data")["events"].alias("events"), F.col("output_data")["characters"].alias("characters"),
     )
@@ -71,7 +71,10 @@ def run_summary(t):
 e AS (SELECT execution_id, count(*) AS interactions, count(*) FILTER (WHERE role = 'user') AS tool_calls, arg_max(length(text), turn) FILTER (WHERE role = 'assistant') AS report_length FROM v_turns GROUP BY execution_id)
 SELECT execution_id, round(total, 6) AS total_execution_time_seconds, agents, agents_ok, interactions, tool_calls, report_length FROM durations JOIN a USING (execution_id) JOIN e USING (execution_id)""")
 def run_log_assemble(t):
-    details = runs.run_details(runs.run_durations(events(t)), agents(t), events(t))
+    """All five kinds of documents written, scanned back and joined."""
+    path = scratch_path(t.spark, "runs")
+    runs.write_run(events(t), path)
+    details = runs.run_details(t.spark, path)
     return final(details.drop("start_timestamp", "status"))
 
 
