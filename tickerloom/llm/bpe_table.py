@@ -17,8 +17,12 @@ from tickerloom.llm import bpe, lexicon
 from tickerloom.llm.common import shuffle_partitions, small_batches
 
 
+#: Pieces a task remembers beside its chunk's dictionary.
+CACHED = 150_000
+
+
 def _pretoken_numbers(numbers: lexicon.Numbers):
-    return bpe.Pieces(lambda token: numbers[token.encode()]).encode
+    return bpe.Pieces(lambda token: numbers[token.encode()], keep=CACHED).encode
 
 
 def _encoded_parts(batches, ranks_path: str):

@@ -9,6 +9,7 @@ however often a chunk repeats it, so frequent words make no part large.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -20,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import shuffle_partitions, small_batches
-from tickerloom.session import materialize
+from tickerloom.llm.common import bound_batches, shuffle_partitions, small_batches
+from tickerloom.session import scratch_path
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 BLOCK_WORDS = 1 << 18
 LEVEL = 3
 
@@ -76,10 +77,10 @@ def chunks(docs: DataFrame, key: Column, flag: Column, text: Column, cutter: Cal
     """The stored table of chunks. ``cutter(numbers)`` returns a function from text to the numbers of its words.
 
     ``numbers`` maps a word (``bytes``) to its number as four bytes. ``counts`` holds how often each word occurs in the
-    chunk's documents whose ``flag`` is false. Null texts are empty.
+    chunk's documents whose ``flag`` is false. Null texts are empty. The table is bucketed by chunk.
     """
     parts = parts or shuffle_partitions(docs)
-    table = docs.select(key.alias("key"), flag.alias("flag"), text.alias("text"))
+    table = bound_batches(docs).select(key.alias("key"), flag.alias("flag"), text.alias("text"))
     kind = table.schema["key"].dataType
 
     def cut(batches):
@@ -101,7 +102,20 @@ def chunks(docs: DataFrame, key: Column, flag: Column, text: Column, cutter: Cal
         if keys:
             yield from _flushed((task << 32) | state["made"], numbers, keys, flags, seqs, parts)
 
-    return materialize(table.mapInArrow(cut, chunk_schema(kind)), "chunks")
+    return _bucketed(table.mapInArrow(cut, chunk_schema(kind)), "chunk", parts)
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` stored in the shared folder in buckets of ``key``, so that grouping by ``key`` does not shuffle it.
+
+    The catalogue entry goes at once; the returned frame reads the files.
+    """
+    spark, name = df.sparkSession, f"tl_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch_path(spark, key)).saveAsTable(name)
+    stored = spark.table(name)
+    stored.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def _row(chunk, part, keys, flags, lengths, body, counts, kind) -> pa.RecordBatch:
