@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import small_batches
+from tickerloom.llm.common import bound_batches, small_batches
 
 #: Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -390,7 +390,7 @@ def extract(pages: DataFrame, source: str = "html", out: str = "text", model: Mo
     """
     model = model or default_model()
     names = [c for c in pages.columns if c not in (source, out)]
-    chosen = pages.select(*names, F.col(source).alias("_tl_html"))
+    chosen = bound_batches(pages).select(*names, F.col(source).alias("_tl_html"))
 
     def read(batches):
         for batch in small_batches(batches, 64):

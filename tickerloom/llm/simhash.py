@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import connected_components, small_batches
+from tickerloom.llm.common import bound_batches, connected_components, small_batches
 from tickerloom.session import materialize
 
 SEED = 42
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField("key", kind), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(compute, schema)
+    return bound_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(compute, schema)
 
 
 def _word_counts(fps: np.ndarray) -> np.ndarray:
@@ -229,8 +229,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id",
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every near-duplicate group: smallest key first, nulls last, then smallest text."""
-    marked = materialize(docs.withColumn("_tl_fp", fingerprint_column(F.col(text))), "marked")
-    roots = components(marked.select(F.col("_tl_fp").alias("fp")), radius).select(F.col("fp").alias("_tl_fp"), F.col("root").alias("_tl_root"))
+    # fingerprints are computed once for the links and once more beside the rows, which costs less than a copy of all texts
+    fps = materialize(fingerprints(docs, key, text).select("fp"), "fingerprints")
+    roots = components(fps, radius).select(F.col("fp").alias("_tl_fp"), F.col("root").alias("_tl_root"))
+    marked = docs.withColumn("_tl_fp", fingerprint_column(F.col(text)))
     grouped = marked.join(roots, "_tl_fp", "left").withColumn("_tl_root", F.coalesce("_tl_root", "_tl_fp"))
     first = Window.partitionBy("_tl_root").orderBy(F.col(key).asc_nulls_last(), F.col(text).asc_nulls_last())
     return grouped.withColumn("_tl_row", F.row_number().over(first)).where("_tl_row = 1").select(*docs.columns)

@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import shuffle_partitions, small_batches
+from tickerloom.llm.common import bound_batches, shuffle_partitions, small_batches
 from tickerloom.session import materialize
 
 LENGTH = 200
 GRAM = 32
 #: Suffixes that one partition should hold.
-BUCKET = 40_000
+BUCKET = 20_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -209,10 +209,11 @@ def _points(batches, length):
 
 def _sorted_bucket(batches, length: int, parts: int):
     """One range partition: spans of matched strings, and digests of the strings at its ends, by part."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    given = [b for b in batches if b.num_rows]
+    if not given:
         return
-    rows = table.to_pandas().drop_duplicates(["_tid", "_n", "_at"])
+    rows = pa.Table.from_batches(given).to_pandas().drop_duplicates(["_tid", "_n", "_at"])
+    del given
     left, right = rows["_left"].tolist(), rows["_right"].tolist()
     low, high, ends = repeats(left, right, length)
     rlen = np.fromiter(map(len, right), np.int64, len(right))
@@ -240,13 +241,12 @@ def _sorted_bucket(batches, length: int, parts: int):
     part = (digests["h"] % np.uint64(parts)).astype(np.int64)
     used = np.unique(part)
     blobs = [digests[part == p].tobytes() for p in used]
-    size = len(cols) + len(used)
     none = lambda k: pa.nulls(k, pa.int64())
     ints = [pa.concat_arrays([pa.array(np.ascontiguousarray(cols[:, j])), none(len(used))]).cast(t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))]
     yield pa.RecordBatch.from_arrays(
         [*ints, pa.array([None] * len(cols) + used.tolist(), pa.int32()), pa.array([None] * len(cols) + blobs, pa.binary())],
         ["_tid", "_n", "_from", "_to", "_part", "_open"],
-    ).slice(0, size)
+    )
 
 
 def _across(rows: pd.DataFrame, length: int) -> pd.DataFrame:
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     Null texts count as empty; texts shorter than ``length`` bytes are kept. Strings never cross rows. Repeated rows and
     equal keys are told apart by their texts alone. An empty table gives no rows; all columns of ``docs`` stay.
     """
-    keyed, gone = spans(docs, key, text, length, bucket)
+    keyed, gone = spans(bound_batches(docs), key, text, length, bucket)
     joined = keyed.drop("_id").join(gone, ["_tid", "_n"], "left").select(*docs.columns, "_n", "_body", "_whole", "_spans")
     names, extra = docs.columns, T.StructType().add("_kept", "binary").add("_n_removed", "long").add("_n_spans", "long")
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import small_batches
+from tickerloom.llm.common import bound_batches, small_batches
 from tickerloom.session import materialize
 
 #: Bounds of the fitting sample: texts of each kind, by hash order.
@@ -115,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     total, toxic = usable.where("_t is not null").agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("_t") == 1).cast("long")), F.lit(0))).first()
     prior = min(0.5, max(1e-3, toxic / total)) if total else 0.05
     order = F.xxhash64("_k")
-    texts = docs.select(F.col(key).alias("_k"), F.col(text).alias("_x")).where(learnable(F.col("_k")))
+    texts = bound_batches(docs).select(F.col(key).alias("_k"), F.col(text).alias("_x")).where(learnable(F.col("_k")))
     confirmed = usable.where("_t = 1").select("_k").distinct()
     picked = confirmed.join(texts.select("_k").distinct(), "_k", "left_semi").orderBy(order, "_k").limit(POSITIVES)
     # unlabelled texts are drawn from all, toxic ones included, as the prior speaks of all
