@@ -30,7 +30,7 @@ def test_merges_and_pieces(ranks, plain):
 def test_packing_ids_are_those_of_the_tokenizers_file(ranks):
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encode = packing.Encoder(ranks)
-    for text in random_texts(1500, 8):
+    for text in [*random_texts(1500, 8), " " * 5000 + "x", "a\n" + "\n " * 900, "b" * 3000]:
         assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 

@@ -9,8 +9,11 @@ filled at once. Its answer, runs of piece ranks against runs of windows, is join
 
 from __future__ import annotations
 
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections import deque
 
 import numpy as np
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.llm import bpe
-from tickerloom.llm.common import hash_bucket, ranked, small_batches
+from tickerloom.llm.common import bound_batches, hash_bucket, ranked, small_batches
 from tickerloom.session import materialize
 
 WINDOW = 1024
@@ -32,16 +35,29 @@ SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 RANK_BUCKETS = 256
 
 
+_LONG_SPACE = re.compile(r"\s{256}")
+
+
+def _little(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 class Encoder:
     """Ids as little-endian 32-bit integers, equal to those of the ``tokenizers`` file of the same vocabulary."""
 
     def __init__(self, ranks_path: str):
-        core = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(ranks_path), special_tokens={})
-        single = core._core_bpe.encode_single_piece
-        self.pieces = bpe.Pieces(lambda token: np.array(single(token.encode()), "<u4").tobytes())
+        self.core = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(ranks_path), special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        return struct.pack("<I", SPECIAL_ID).join(map(self.pieces.encode, text.split(SPECIAL)))
+        return struct.pack("<I", SPECIAL_ID).join(map(self._plain, text.split(SPECIAL)))
+
+    def _plain(self, text: str) -> bytes:
+        if _LONG_SPACE.search(text):  # the library's pattern matcher overflows its stack there
+            return b"".join(_little(self.core._core_bpe.encode_single_piece(t.encode())) for t in bpe.pretokens(text))
+        return _little(self.core.encode_ordinary(text))
 
 
 def token_pieces(docs: DataFrame, ranks_path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
@@ -66,7 +82,7 @@ def token_pieces(docs: DataFrame, ranks_path: str, key: str = "doc_id", text: st
                 ["key", *(f.name for f in longs)],
             )
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(cut, T.StructType([T.StructField("key", kind), *longs]))
+    return bound_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(cut, T.StructType([T.StructField("key", kind), *longs]))
 
 
 class Tightest:
