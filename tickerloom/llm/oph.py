@@ -113,7 +113,7 @@ def with_guests(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     used = sorted((r[0] for r in tops.select("_bucket").collect()), reverse=True)  # at most ``buckets`` + 1 numbers
     before = {b: used[i - 1] for i, b in enumerate(used)}  # of the first bucket: the last one
     to = F.element_at(F.array(*[F.lit(before.get(b, 0)) for b in range(max(used, default=0) + 1)]), F.col("_bucket") + 1)
-    at_top = dealt.join(tops.withColumnRenamed("_bucket", "_b"), (F.col("_bucket") == F.col("_b")) & F.col("key").eqNullSafe(F.col("_top")))
+    at_top = dealt.join(F.broadcast(tops.withColumnRenamed("_bucket", "_b")), (F.col("_bucket") == F.col("_b")) & F.col("key").eqNullSafe(F.col("_top")))
     heads = at_top.groupBy("_bucket").agg(F.min("text").alias("text"), F.max("key").alias("key"))
     guests = heads.select("key", "text", to.alias("_bucket"), F.lit(1).alias("_guest"))
     return dealt.withColumn("_guest", F.lit(0)).unionByName(guests)
