@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tickerloom.llm import suffix
 
 
@@ -47,6 +48,23 @@ def test_equals_brute_force(frame, bucket):
     assert found == sorted((t or "", *w) for t, w in zip(rows, plain(rows)))
 
 
+def test_a_passage_of_all_rows_is_spread_over_partitions(frame, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(900)
+    rows = [text(rng.randint(30, 120)) + passage + text(rng.randint(30, 120)) for _ in range(300)]
+    rows += [rows[0]] * 100 + [text(500)]  # copies with one key
+    df = frame([(0 if i >= 300 else i, t) for i, t in enumerate(rows)])
+    dealt, kind = [], type(df)
+    deal = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda *a: dealt.append(deal(*a)) or dealt[-1])
+    got = suffix.remove_repeats(df, bucket=40)
+    found = sorted((r.text, bytes(r._kept), r._n_removed, r._n_spans) for r in got.select("text", "_kept", "_n_removed", "_n_spans").collect())
+    assert found == sorted((t, *w) for t, w in zip(rows, plain(rows)))
+    sizes = [r["count"] for r in dealt[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) > 2000 and max(sizes) < 200
+
+
 def test_empty_and_short_tables(frame):
     assert suffix.remove_repeats(frame([])).count() == 0
     (row,) = suffix.remove_repeats(frame([(1, "short")])).collect()

@@ -14,8 +14,9 @@ the text many times over, so only suffixes that can matter are sorted, and none
 4. *Across boundaries.* A string can have its only copy in another partition only if every suffix from it to an end of
    its partition begins alike. One digest of each such string is shuffled and compared.
 
-A gram that a third of all rows share is spread over partitions by what follows it; no pairs are formed, and a task
-returns at most one interval per sync point.
+A gram that a third of all rows share is spread over partitions by what follows it, and points whose surroundings are equal
+on both sides by a random number stored with each; they meet as strings at the ends of their partitions do (4.). No pairs
+are formed, and a task returns at most one interval per sync point.
 """
 
 from __future__ import annotations
@@ -277,11 +278,13 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: in
     wanted = each.select("_tid", "_n", "_g").join(twice, "_g").groupBy("_tid", "_n").agg(F.collect_set("_g").alias("_grams"))
     wanted = wanted.join(texts.select("_tid", "_n", "_id"), ["_tid", "_n"])
     chosen = bare.join(wanted, ["_tid", "_n", "_id"]).select("_tid", "_n", "_body", "_grams")
-    points = materialize(chosen.mapInArrow(lambda b: _points(b, length), _POINT), "suffixes")
+    # the number may part copies of one point, which only a text that goes whole has
+    salt = (F.rand() * (2**31 - 1)).cast("int")
+    points = materialize(chosen.mapInArrow(lambda b: _points(b, length), _POINT).withColumn("_salt", salt), "suffixes")
 
     n = points.count()
     parts = max(shuffle_partitions(docs), -(-n // bucket))
-    dealt = points.repartitionByRange(parts, "_right", "_left")
+    dealt = points.repartitionByRange(parts, "_right", "_left", "_salt")
     found = materialize(dealt.mapInArrow(lambda b: _sorted_bucket(b, length, parts), f"{_SPAN}, _part int, _open binary"), "spans")
     met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInPandas(lambda r: _across(r, length), _SPAN)
     rows = found.where("_part is null").select("_tid", "_n", "_from", "_to").unionByName(met)
