@@ -70,7 +70,7 @@ def compare(spark, con, name, run, sql, sf_dir):
 
 
 def main() -> int:
-    from tickerloom.plans import catalog
+    import __spark_entry__ as spark_entry
     from tickerloom.session import local_session
 
     args = sys.argv[1:]
@@ -80,7 +80,7 @@ def main() -> int:
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
     con = open_duck(sf_dir)
-    queries, checks = catalog.queries(), catalog.checks()
+    queries, checks = spark_entry.queries(), spark_entry.oracle_sql()
     names = [n for n in queries if not args or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) for a in args)]
     bad = []
     for name in names:
