@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ann, bpe, bpe_table, html_tree, lm, oph, packing, sharding, simhash, suffix, toxicity
+from tickerloom.llm import ann, bpe, bpe_table, decontam, html_tree, lm, oph, packing, sharding, simhash, suffix, toxicity
 from tickerloom.llm.common import table
 
 
@@ -68,6 +68,19 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["to"] - s["from"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,7 +94,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_packing,
         op10_suffix_array_dedup,
+        op11_winnowing,
     )
 }
 
-CHECKS: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+CHECKS: dict[str, str] = {
+    "op11_winnowing": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+t AS (SELECT DISTINCT item, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda s: array_to_string(list_slice(w, s, s + 9), ' '))) AS win FROM i WHERE len(w) > 0),
+p AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM d, (SELECT DISTINCT n FROM t) WHERE len(w) >= n),
+h AS (SELECT r, s, p.n, item FROM (SELECT r, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS win FROM p) p JOIN t ON t.win = p.win AND t.n = p.n),
+c AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS x FROM (SELECT DISTINCT r, s, n FROM h)) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)""",
+}
