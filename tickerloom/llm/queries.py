@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ann, bpe, bpe_table, decontam, html_tree, lm, oph, packing, sharding, simhash, suffix, toxicity
+from tickerloom.llm import ann, bpe, bpe_table, decontam, html_tree, lm, oph, packing, resample, sharding, simhash, suffix, toxicity
 from tickerloom.llm.common import table
 
 
@@ -81,6 +81,10 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,11 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_suffix_array_dedup,
         op11_winnowing,
+        op12_bit_sliced_resampling,
     )
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+#: One bit of a CRC-32 table entry per step.
+_CRC_STEPS = ",\n".join(f"c{i + 1} AS (SELECT i, xor(c >> 1, 3988292384 * (c & 1)) AS c FROM c{i})" for i in range(8))
 
 CHECKS: dict[str, str] = {
     "op11_winnowing": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -111,4 +118,20 @@ c AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(s, s + n
 m AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)""",
+    "op12_bit_sliced_resampling": f"""WITH c0 AS (SELECT range AS i, range AS c FROM range(256)),
+{_CRC_STEPS},
+crc AS (SELECT list(c ORDER BY i) AS t FROM c8),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+x AS (SELECT true AS of_doc, r, unnest(w) AS word FROM d UNION ALL SELECT false, 0, unnest({_WORDS}) FROM benchmark),
+u AS (SELECT word, hex(word) AS h FROM (SELECT DISTINCT word FROM x)),
+k AS (SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 10000 AS b FROM u, crc),
+n AS (SELECT b, count(*) FILTER (of_doc) AS s, count(*) FILTER (NOT of_doc) AS t FROM x JOIN k USING (word) GROUP BY b),
+a AS (SELECT sum(s)::BIGINT AS ss, sum(t)::BIGINT AS tt FROM n),
+g AS (SELECT b, floor(1000 * ln(((t + 1) * (ss + 10000))::DOUBLE / ((s + 1) * (tt + 10000))::DOUBLE))::BIGINT AS gain FROM n, a),
+w AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM x JOIN k USING (word) JOIN g USING (b) WHERE of_doc GROUP BY r),
+o AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight, ('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT AS h FROM d LEFT JOIN w USING (r)),
+p AS (SELECT doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::BIGINT AS score FROM o),
+q AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS z, count(*) OVER (PARTITION BY n_features >= 20) AS able FROM p)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND z <= 10 * able // 100 THEN z END::BIGINT AS rank FROM q""",
 }
