@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ann, bpe, bpe_table, decontam, html_tree, lm, oph, packing, resample, sharding, simhash, suffix, toxicity
+from tickerloom.llm import ann, bpe, bpe_table, decontam, divergence, html_tree, lm, oph, packing, resample, sharding, simhash, suffix, toxicity
 from tickerloom.llm.common import table
 
 
@@ -85,6 +85,10 @@ def op12_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_suffix_array_dedup,
         op11_winnowing,
         op12_bit_sliced_resampling,
+        op13_source_divergence,
     )
 }
 
@@ -134,4 +139,20 @@ o AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(floor(total:
 p AS (SELECT doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::BIGINT AS score FROM o),
 q AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS z, count(*) OVER (PARTITION BY n_features >= 20) AS able FROM p)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND z <= 10 * able // 100 THEN z END::BIGINT AS rank FROM q""",
+    "op13_source_divergence": rf"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS text FROM documents),
+x AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM x GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n_all FROM k GROUP BY lang),
+s AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM x GROUP BY ALL),
+e AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, k.n AS m FROM s JOIN k ON k.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+t AS (SELECT lang, source, sum(n) AS n_own FROM e GROUP BY ALL),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (n_own + 5 * v)::HUGEINT AS p, 1 + (1000000000::HUGEINT * (m + 5)) // (n_all + 5 * v)::HUGEINT AS q
+  FROM e JOIN t USING (lang, source) JOIN l USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM z WHERE part = 'pair' OR rank <= 50""",
 }
