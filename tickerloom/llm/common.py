@@ -59,8 +59,8 @@ def ranked(df: DataFrame, group: list[str], order: Column, tie: Column, rank: st
     )
 
 
-def spread_join(many: DataFrame, one: DataFrame, on: list[str], count: str, row: Column, parts: int = 256) -> DataFrame:
-    """Inner join of ``many`` with a stored ``one``, which has one row per key and in ``count`` how many rows of ``many`` have it.
+def spread_join(many: DataFrame, one: DataFrame, on: list[str], count: str, row: Column, parts: int = 256, how: str = "inner") -> DataFrame:
+    """Join of ``many`` with a stored ``one`` (inner or left), which has one row per key and in ``count`` how many rows of ``many`` have it.
 
     A key with more than one of ``parts`` shares of all these rows is dealt over salts in proportion, by a hash of ``row``, and its row
     of ``one`` is repeated for them. There are fewer than ``parts`` such keys, so their list is broadcast. ``count`` is dropped.
@@ -70,7 +70,7 @@ def spread_join(many: DataFrame, one: DataFrame, on: list[str], count: str, row:
     salt = F.pmod(F.xxhash64(row), F.coalesce("_salts", F.lit(1))).cast("int")
     left = many.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
     right = one.drop(count).join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    return left.join(right, [*on, "_salt"]).drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def hash_bucket(column: Column, buckets: int = RANK_BUCKETS) -> Column:
