@@ -154,3 +154,15 @@ def test_crowd_of_different_texts_forms_no_pairs(spark, monkeypatch):
     outcome = dedup.deduplicate(spark.createDataFrame(rows, SCHEMA))
     assert {r[0] for r in rows} - {r.original_index for r in outcome.dropped.collect()} == kept
     assert sum(compared) < len(rows)
+
+
+def test_discarded_tables_are_gone(spark):
+    import pathlib
+
+    from tickerloom.session import discard, materialize
+
+    kept = materialize(spark.range(3), "kept")
+    gone = materialize(kept.selectExpr("id + 1 AS id"), "gone")
+    assert gone.count() == 3
+    discard(gone)
+    assert not pathlib.Path(gone.scratch).exists() and kept.count() == 3

@@ -53,7 +53,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more (what follows from it is stored itself)."""
+    spark = stored.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stored.scratch)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def redistribute(df: DataFrame, key: str) -> DataFrame:
