@@ -26,6 +26,10 @@ def pretokens(text: str) -> list[str]:
     return _PATTERN.findall(text)
 
 
+def first_pretoken(text: str) -> str:
+    return _PATTERN.search(text).group()
+
+
 class Uneven(Exception):
     """A text whose blanks can't be used as cuts."""
 
