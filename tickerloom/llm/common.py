@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,6 +74,43 @@ def spread_join(many: DataFrame, one: DataFrame, on: list[str], count: str, row:
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+SEGMENT_BITS = 15
+
+
+def bit_segments(hashes: DataFrame, bits: int) -> dict[int, bytes]:
+    """A table of ``2 ** bits`` bits with those set that the 64-bit hashes of the one column name, in segments that have any.
+
+    At most ``2 ** (bits - 15)`` segments of 4 KB reach the driver, whatever the number of rows; with 26 bits that is 8 MB.
+    """
+
+    def segment(rows: pa.Table) -> pa.Table:
+        place = rows.column("_place").to_numpy()
+        seen = np.zeros(1 << SEGMENT_BITS, np.uint8)
+        seen[place & ((1 << SEGMENT_BITS) - 1)] = 1
+        return pa.table({"segment": pa.array([int(place[0]) >> SEGMENT_BITS], pa.int32()), "bits": pa.array([np.packbits(seen, bitorder="little").tobytes()])})
+
+    place = F.shiftrightunsigned(hashes.columns[0], 64 - bits).cast("int")
+    places = hashes.select(place.alias("_place")).distinct().withColumn("_segment", F.shiftright("_place", SEGMENT_BITS))
+    rows = places.groupBy("_segment").applyInArrow(segment, "segment int, bits binary").collect()
+    return {r.segment: bytes(r.bits) for r in rows}
+
+
+class BitTable:
+    """The table of ``bit_segments`` in a task."""
+
+    def __init__(self, segments: dict[int, bytes], bits: int):
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << (max(bits, SEGMENT_BITS) - 3), np.uint8)
+        for s, part in segments.items():
+            at = s << (SEGMENT_BITS - 3)
+            self.table[at : at + len(part)] = np.frombuffer(part, np.uint8)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the bit of each hash is set: always for those in the table, by chance for others."""
+        place = hashes.astype(np.uint64, copy=False) >> self.shift
+        return ((self.table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
 def hash_bucket(column: Column, buckets: int = RANK_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(buckets))
 

@@ -23,13 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import bound_batches, small_batches, spread_join
+from tickerloom.llm.common import BitTable, bit_segments, bound_batches, small_batches, spread_join
 from tickerloom.session import materialize
 
 WINDOW = 10
 #: Bits of the fingerprint table: 8 MB.
 TABLE_BITS = 26
-_SEGMENT_BITS = 15
 _PIECE = 1 << 20
 
 _WORD = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -133,37 +132,17 @@ def _item_windows(batches, window: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.binary(), pa.int32()))], ["_item", "_fp", "_win", "_n"])
 
 
-def _segments(items: DataFrame, bits: int) -> dict[int, bytes]:
-    """The bit table of all fingerprints, in segments that have a bit set: 2,048 of 4 KB at most with 26 bits."""
-
-    def segment(rows: pa.Table) -> pa.Table:
-        place = rows.column("_place").to_numpy()
-        seen = np.zeros(1 << _SEGMENT_BITS, np.uint8)
-        seen[place & ((1 << _SEGMENT_BITS) - 1)] = 1
-        return pa.table({"segment": pa.array([int(place[0]) >> _SEGMENT_BITS], pa.int32()), "bits": pa.array([np.packbits(seen, bitorder="little").tobytes()])})
-
-    place = F.shiftrightunsigned("_fp", 64 - bits).cast("int")
-    places = items.select(place.alias("_place")).distinct().withColumn("_segment", F.shiftright("_place", _SEGMENT_BITS))
-    rows = places.groupBy("_segment").applyInArrow(segment, "segment int, bits binary").collect()
-    return {r.segment: bytes(r.bits) for r in rows}
-
-
 _CANDIDATES = pa.list_(pa.struct([("_fp", pa.int64()), ("_win", pa.binary()), ("_n", pa.int32()), ("_at", pa.binary())]))
 
 
 def _marked(batches, window: int, short: list[int], segments: dict[int, bytes], bits: int):
     """Per document: its number of words and the windows whose fingerprint an item may have."""
-    table = np.zeros(1 << (max(bits, _SEGMENT_BITS) - 3), np.uint8)
-    for s, part in segments.items():
-        at = s << (_SEGMENT_BITS - 3)
-        table[at : at + len(part)] = np.frombuffer(part, np.uint8)
+    table = BitTable(segments, bits)
     for batch in small_batches(batches):
         words = Words([(t or "").encode() for t in batch.column(1).to_pylist()])
         found: list[dict[tuple[int, bytes, int], list[int]]] = [{} for _ in range(batch.num_rows)]
         for n, fp, whole in _windows(words, window, short):
-            place = fp >> np.uint64(64 - bits)
-            known = (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
-            for at in np.flatnonzero(known.astype(bool) & whole).tolist():
+            for at in np.flatnonzero(whole & table.holds(fp)).tolist():
                 d = int(words.text[at])
                 found[d].setdefault((int(fp[at].view(np.int64)), words.digest(at, n), n), []).append(at - int(words.edges[d]))
         rows = [[{"_fp": f, "_win": w, "_n": n, "_at": np.array(p, "<i4").tobytes()} for (f, w, n), p in of.items()] for of in found]
@@ -202,7 +181,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     named = bound_batches(items).select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("_item"), F.col(item_text).alias("_text"))
     tests = materialize(named.mapInArrow(lambda b: _item_windows(b, window), f"_item string, {_WINDOWS}").distinct(), "item-windows")
     short = sorted(r[0] for r in tests.select("_n").where(F.col("_n") < window).distinct().collect())  # at most window - 1
-    segments = _segments(tests, bits)
+    segments = bit_segments(tests.select("_fp"), bits)
 
     kind = T.StructType().add("_key", docs.schema[key].dataType).add("_words", "long")
     kind = T.StructType([*kind.fields, *T._parse_datatype_string(f"_windows array<struct<{_WINDOWS.replace(' ', ':').replace(',:', ',')},_at:binary>>").fields])

@@ -15,8 +15,9 @@ the text many times over, so only suffixes that can matter are sorted, and none
    its partition begins alike. One digest of each such string is shuffled and compared.
 
 A gram that a third of all rows share is spread over partitions by what follows it, and points whose surroundings are equal
-on both sides by a random number stored with each; they meet as strings at the ends of their partitions do (4.). No pairs
-are formed, and a task returns at most one interval per sync point.
+on both sides by a hash of text and place; they meet as strings at the ends of their partitions do (4.). No pairs
+are formed, and a task returns at most one interval per sync point. Texts without a repeated gram, and later those that lose nothing,
+are told by bit tables of fixed size and not shuffled.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import bound_batches, shuffle_partitions, small_batches
-from tickerloom.session import materialize
+from tickerloom.llm.common import BitTable, bit_segments, bound_batches, shuffle_partitions, small_batches, spread_join
+from tickerloom.session import discard, materialize
 
 LENGTH = 200
 GRAM = 32
 #: Suffixes that one partition should hold.
-BUCKET = 20_000
+BUCKET = 40_000
+#: Bits of the tables by which texts that a join can't need are left out of its shuffle: 8 MB each.
+TABLE_BITS = 26
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -263,34 +266,50 @@ def _across(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     ).agg({"_to": "max"})
 
 
-def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with its text key, and per distinct text that loses bytes its intervals (or that it goes whole)."""
+def _may_hold(segments: dict[int, bytes], bits: int):
+    """A column that tells whether a text's key may be in a bit table; no text whose key is in it is left out."""
+
+    def held(keys: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = BitTable(segments, bits)
+        for some in keys:
+            yield pd.Series(table.holds(some.to_numpy().view(np.uint64)))
+
+    return F.pandas_udf(held, T.BooleanType())
+
+
+def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: int = BUCKET, bits: int = TABLE_BITS) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with its text key, and per distinct text that loses bytes its intervals (or that it goes whole).
+
+    Texts are told apart by two hashes of 64 and 32 bits (``_tid``, ``_n``).
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumns({"_tid": F.xxhash64(body), "_n": F.octet_length(body), "_id": F.coalesce(F.col(key).cast("long"), F.lit(0)), "_body": body})
+    keyed = docs.withColumns({"_tid": F.xxhash64(body), "_n": F.hash(body), "_id": F.coalesce(F.col(key).cast("long"), F.lit(0)), "_body": body})
     bare = keyed.select("_tid", "_n", "_id", "_body")
-    long_ = bare.where(F.col("_n") >= length)
+    long_ = bare.where(F.octet_length("_body") >= length)
     grams = long_.mapInArrow(lambda b: _grams(b, length), "_tid long, _n int, _id long, _grams array<long>")
     texts = materialize(
         grams.groupBy("_tid", "_n").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_copies"), F.first("_grams").alias("_grams")), "texts"
     )
     each = texts.select("_tid", "_n", F.when(F.col("_copies") > 1, 2).otherwise(1).alias("_w"), F.explode("_grams").alias("_g"))
-    twice = each.groupBy("_g").agg(F.sum("_w").alias("_seen")).where("_seen > 1").select("_g")
-    wanted = each.select("_tid", "_n", "_g").join(twice, "_g").groupBy("_tid", "_n").agg(F.collect_set("_g").alias("_grams"))
-    wanted = wanted.join(texts.select("_tid", "_n", "_id"), ["_tid", "_n"])
-    chosen = bare.join(wanted, ["_tid", "_n", "_id"]).select("_tid", "_n", "_body", "_grams")
-    # the number may part copies of one point, which only a text that goes whole has
-    salt = (F.rand() * (2**31 - 1)).cast("int")
-    points = materialize(chosen.mapInArrow(lambda b: _points(b, length), _POINT).withColumn("_salt", salt), "suffixes")
+    twice = materialize(each.groupBy("_g").agg(F.sum("_w").alias("_seen")).where("_seen > 1"), "grams")
+    wanted = spread_join(each.select("_tid", "_n", "_g"), twice, ["_g"], "_seen", F.struct("_tid", "_n"))
+    wanted = wanted.groupBy("_tid", "_n").agg(F.collect_set("_g").alias("_grams")).join(texts.select("_tid", "_n", "_id"), ["_tid", "_n"])
+    wanted = materialize(wanted, "wanted")
+    may = _may_hold(bit_segments(wanted.select("_tid"), bits), bits)
+    chosen = bare.where(may("_tid")).join(wanted, ["_tid", "_n", "_id"]).select("_tid", "_n", "_body", "_grams")
+    points = materialize(chosen.mapInArrow(lambda b: _points(b, length), _POINT), "suffixes")
 
     n = points.count()
     parts = max(shuffle_partitions(docs), -(-n // bucket))
-    dealt = points.repartitionByRange(parts, "_right", "_left", "_salt")
+    # suffixes that are equal meet in one partition or at the ends of neighbours, however what follows them in the order parts them
+    dealt = points.repartitionByRange(parts, "_right", F.substring("_left", 1, 16), F.xxhash64("_tid", "_n", "_at"))
     found = materialize(dealt.mapInArrow(lambda b: _sorted_bucket(b, length, parts), f"{_SPAN}, _part int, _open binary"), "spans")
+    discard(points)
     met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInPandas(lambda r: _across(r, length), _SPAN)
     rows = found.where("_part is null").select("_tid", "_n", "_from", "_to").unionByName(met)
     per = rows.groupBy("_tid", "_n").agg(F.collect_set(F.struct("_from", "_to")).alias("_spans"))
     whole = texts.select("_tid", "_n", (F.col("_copies") > 1).alias("_whole"))
-    return keyed, whole.join(per, ["_tid", "_n"], "left").where("_whole or _spans is not null")
+    return keyed, materialize(whole.join(per, ["_tid", "_n"], "left").where("_whole or _spans is not null"), "gone")
 
 
 def merged_spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -304,21 +323,23 @@ def merged_spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, bucket: int = BUCKET) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, bucket: int = BUCKET, bits: int = TABLE_BITS) -> DataFrame:
     """``docs`` plus ``_kept binary``, ``_n_removed long`` and ``_n_spans long``.
 
     Null texts count as empty; texts shorter than ``length`` bytes are kept. Strings never cross rows. Repeated rows and
     equal keys are told apart by their texts alone. An empty table gives no rows; all columns of ``docs`` stay.
     """
-    keyed, gone = spans(bound_batches(docs), key, text, length, bucket)
-    joined = keyed.drop("_id").join(gone, ["_tid", "_n"], "left").select(*docs.columns, "_n", "_body", "_whole", "_spans")
+    keyed, gone = spans(bound_batches(docs), key, text, length, bucket, bits)
+    may = _may_hold(bit_segments(gone.select("_tid"), bits), bits)
+    flagged = keyed.drop("_id").withColumn("_may", may("_tid"))
     names, extra = docs.columns, T.StructType().add("_kept", "binary").add("_n_removed", "long").add("_n_spans", "long")
+    joined = flagged.where("_may").join(gone, ["_tid", "_n"], "left").select(*names, "_body", "_whole", "_spans")
 
     def cut(batches):
         at = len(names)
         for batch in small_batches(batches, 64):
             kept, removed, runs = [], [], []
-            for body, whole, found in zip(*(batch.column(i).to_pylist() for i in (at + 1, at + 2, at + 3))):
+            for body, whole, found in zip(*(batch.column(i).to_pylist() for i in (at, at + 1, at + 2))):
                 data = body.encode()
                 out = [(0, len(data))] if whole else merged_spans([(s["_from"], s["_to"]) for s in found or ()])
                 bounds = [0, *(x for run in out for x in run), len(data)]
@@ -328,4 +349,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             new = [pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *new], [*names, *extra.names])
 
-    return joined.mapInArrow(cut, T.StructType([*docs.schema.fields, *extra.fields]))
+    schema = T.StructType([*docs.schema.fields, *extra.fields])
+    as_is = flagged.where("not _may").select(*names, F.encode("_body", "UTF-8").alias("_kept"), F.lit(0).cast("long").alias("_n_removed"), F.lit(0).cast("long").alias("_n_spans"))
+    return joined.mapInArrow(cut, schema).union(as_is)
