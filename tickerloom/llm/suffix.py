@@ -302,7 +302,7 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: in
     n = points.count()
     parts = max(shuffle_partitions(docs), -(-n // bucket))
     # suffixes that are equal meet in one partition or at the ends of neighbours, however what follows them in the order parts them
-    dealt = points.repartitionByRange(parts, "_right", F.substring("_left", 1, 16), F.xxhash64("_tid", "_n", "_at"))
+    dealt = points.repartitionByRange(parts, "_right", "_left", F.xxhash64("_tid", "_n", "_at"))
     found = materialize(dealt.mapInArrow(lambda b: _sorted_bucket(b, length, parts), f"{_SPAN}, _part int, _open binary"), "spans")
     discard(points)
     met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInPandas(lambda r: _across(r, length), _SPAN)
