@@ -9,9 +9,14 @@ from tickerloom.plans.registry import query
 from tickerloom.session import redistribute
 
 
+#: The character references that the test pages hold.
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]
+CONTAINERS_SQL = ["article-content", "story-content", "post-content", "entry-content"]
+
+
 def visible(x: str) -> str:
     out = f"trim(regexp_replace({x}, '\\s*<[^>]*>\\s*', '', 'g'))"
-    for name, value in web.ENTITIES:
+    for name, value in ENTITIES:
         out = "replace({}, '{}', '{}')".format(out, name, value.replace("'", "''"))
     return out
 
@@ -19,7 +24,7 @@ def visible(x: str) -> str:
 CLEANED = "regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g')"
 HOLDS = "CASE WHEN regexp_matches({0}, '(?i)<p[\\s>]') THEN {0} END"
 ARTICLE = "regexp_extract(body, '(?is)<article[^>]*>(.*)</article>', 1)"
-CONTAINERS = ", ".join(HOLDS.format(f"regexp_extract(body, '(?is)<\\w+[^>]*class=\"[^\"]*{c}[^\"]*\"[^>]*>(.*)', 1)") for c in web.CONTAINER_CLASSES)
+CONTAINERS = ", ".join(HOLDS.format(f"regexp_extract(body, '(?is)<\\w+[^>]*class=\"[^\"]*{c}[^\"]*\"[^>]*>(.*)', 1)") for c in CONTAINERS_SQL)
 
 
 @query("html_paragraphs", f"""WITH b AS (SELECT page_id, {CLEANED} AS body FROM pages), s AS (SELECT page_id, coalesce({HOLDS.format(ARTICLE)}, {CONTAINERS}, body) AS scope FROM b),
@@ -45,41 +50,59 @@ def raw_link():
     )
 
 
-def linked_pages(t):
-    """Pages with their main heading turned into a linked result heading, as a result page has them."""
-    kind = F.when(F.col("page_id") % 4 == 0, "news-title_1").when(F.col("page_id") % 4 == 1, "plain").otherwise("c-title")
-    opened = F.concat(F.lit('<h3 class="'), kind, F.lit('"><a href="'), raw_link(), F.lit('">'))
-    html = F.replace(F.replace(F.col("html"), F.lit("<h1>"), opened), F.lit("</h1>"), F.lit("</a></h3>"))
-    tail = F.when(F.col("page_id") % 5 == 0, '<h3><a href="/more">More <b>of</b> this</a></h3>').otherwise("<h3>no link</h3>")
-    return redistribute(t.pages, "page_id").select("page_id", F.concat(html, tail).alias("html"))
+HINTED = "page_id % 4 <> 1"
+TITLES = f"(SELECT page_id, url, page_id % 5 = 0 AS more, {HINTED} AS hinted, unnest(regexp_extract_all(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)) AS h1 FROM pages)"
 
 
-BLOCKS = f"""WITH k AS (SELECT page_id, list_filter(regexp_extract_all(html, '(?is)<h3(?:\\s[^>]*)?>.*?</h3>'), lambda b: regexp_matches(b, '(?i)<a[\\s>]')) AS linked FROM {LINKED_SQL}),
-c AS (SELECT page_id, CASE WHEN len(list_filter(linked, lambda b: regexp_matches(b, '(?i)^<h3[^>]*class="[^"]*(title|news|c-title)'))) > 0
-  THEN list_filter(linked, lambda b: regexp_matches(b, '(?i)^<h3[^>]*class="[^"]*(title|news|c-title)')) ELSE linked END AS blocks FROM k),
-h AS (SELECT page_id, unnest(range(len(blocks)))::INT AS pos, unnest(blocks) AS block FROM c)"""
-TITLE_SQL = visible("regexp_extract(block, '(?is)<a[^>]*>(.*?)</a>', 1)")
+def linked_pages(t):
+    """Pages with their main heading turned into a linked result heading, as a result page has them, in odd but valid markup."""
+    kind = F.when(F.col("page_id") % 4 == 0, "news-title_1").when(F.col("page_id") % 4 == 1, "plain").otherwise("c-TITLE")
+    opened = F.concat(F.lit("<h3 data-x=\"1>0\" class='"), kind, F.lit("'><em><a\n HREF='"), raw_link(), F.lit("'>"))
+    html = F.replace(F.replace(F.col("html"), F.lit("<h1>"), opened), F.lit("</h1>"), F.lit("</a></em></h3>"))
+    tail = F.when(F.col("page_id") % 5 == 0, '<h3><a href=/more>More <b>of</b> this &eacute;&#8217;</a></h3>').otherwise("<h3>no link</h3>")
+    return redistribute(t.pages, "page_id").select("page_id", F.concat(html, tail).alias("html"))
 
 
-@query("html_headings", BLOCKS + f""" SELECT page_id, pos, {TITLE_SQL} AS title, regexp_extract(block, '(?is)<a[^>]*href="([^"]*)"', 1) AS href FROM h""")
+@query("html_headings", f"""SELECT page_id, pos::INT AS pos, title, href FROM (
+SELECT page_id, row_number() OVER (PARTITION BY page_id) - 1 AS pos, {visible('h1')} AS title, {RAW_LINK} AS href FROM {TITLES}
+UNION ALL SELECT page_id, count(*), 'Moreofthis é’', '/more' FROM {TITLES} WHERE more AND NOT hinted GROUP BY page_id
+UNION ALL SELECT page_id, 0, 'Moreofthis é’', '/more' FROM pages WHERE page_id % 5 = 0 AND NOT regexp_matches(html, '(?i)<h1>'))""")
 def html_headings(t):
     found = linked_pages(t).select("page_id", F.posexplode(web.headings(F.col("html"))).alias("pos", "h"))
     return found.select("page_id", "pos", "h.title", "h.href")
 
 
+def result_pages(t):
+    """Search result pages of one page each: the first or the second way finds its heading, or both do."""
+    link = F.concat(F.lit("<h3 class='"), F.when(F.col("page_id") % 2 == 0, "c-title").otherwise("x"), F.lit("'><a href='"), raw_link(), F.lit("'>Page "), F.col("page_id").cast("string"), F.lit("</a></h3>"))
+    box = F.concat(F.lit('<div class="c-Result"><div>'), link, F.lit("</div><div class=news-content>About<div> page <b>"), F.col("page_id").cast("string"), F.lit("</b></div></div></div>"))
+    other = F.when(F.col("page_id") % 3 == 0, "<article class=News><h3><i><a href='/other'>Another &lt;one&gt;</a></i></h3></article>").otherwise("<article class=news><h3>no link</h3></article>")
+    skipped = F.lit("<div class=result><h3 class=news><a href=/x>ab</a></h3></div><div class=result><h3 class=news><a href=/x>百度百科 x</a></h3></div>")
+    return t.pages.select("page_id", F.concat(skipped, box, other).alias("html"))
+
+
+TARGET = "CASE WHEN page_id % 3 = 0 THEN url ELSE url_decode(replace(replace(replace(url, ':', '%3A'), '/', '%2F'), '&', '%26')) END"
+
+
+@query("news_results", f"""SELECT page_id, 'Page ' || page_id AS title, {TARGET} AS link, CASE WHEN page_id % 2 = 0 THEN '' ELSE 'Aboutpage' || page_id END AS abstract, CASE WHEN page_id % 2 = 0 THEN 1 ELSE 2 END AS way FROM pages
+UNION ALL SELECT page_id, 'Another <one>', '/other', '', 2 FROM pages WHERE page_id % 3 = 0""")
+def news_results(t):
+    found = result_pages(t).select("page_id", F.inline(web.news_results(F.col("html"))))
+    return found.select("page_id", "title", "link", "abstract", "way")
+
+
 PARENT_SQL = "regexp_extract(html, '(?is)<article[^>]*>(.*)</article>', 1)"
 HEAD_SQL = visible("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")
 
 
-@query("html_abstract", f"""WITH s AS (SELECT page_id, {PARENT_SQL} || CASE WHEN page_id % 6 = 0 THEN '<div class="c-abstract">Short <b>summary</b> ' || page_id::VARCHAR || '</div>' ELSE '' END AS parent, {HEAD_SQL} AS title FROM pages),
-e AS (SELECT *, regexp_extract(parent, '(?is)<(?:div|span)[^>]*class="[^"]*(?:abstract|content|summary|c-span)[^"]*"[^>]*>(.*?)</(?:div|span)>', 1) AS element, {visible('parent')} AS whole FROM s)
-SELECT page_id, CASE WHEN element <> '' THEN {visible('element')} ELSE left(trim(CASE WHEN title <> '' AND strpos(whole, title) > 0
+@query("html_abstract", f"""WITH s AS (SELECT page_id, {PARENT_SQL} AS parent, {HEAD_SQL} AS title FROM pages), e AS (SELECT *, {visible('parent')} AS whole FROM s)
+SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'Shortsummary' || page_id || 'end' ELSE left(trim(CASE WHEN title <> '' AND strpos(whole, title) > 0
   THEN left(whole, strpos(whole, title) - 1) || substr(whole, strpos(whole, title) + length(title)) ELSE whole END), 200) END AS abstract FROM e""")
 def html_abstract(t):
     inner = F.regexp_extract("html", r"(?is)<article[^>]*>(.*)</article>", 1)
-    extra = F.when(F.col("page_id") % 6 == 0, F.concat(F.lit('<div class="c-abstract">Short <b>summary</b> '), F.col("page_id").cast("string"), F.lit("</div>"))).otherwise("")
-    title = web.visible_text(F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1))
-    df = redistribute(t.pages, "page_id").select("page_id", F.concat(inner, extra).alias("parent"), title.alias("title"))
+    summary = F.concat(F.lit("<div class='x c-Abstract'>Short <div><b>summary</b> </div>"), F.col("page_id").cast("string"), F.lit("<!-- </div> --><span>end</span></div>"))
+    extra = F.when(F.col("page_id") % 6 == 0, summary).otherwise("")
+    df = redistribute(t.pages, "page_id").select("page_id", F.concat(inner, extra).alias("parent"), web.element_text(F.col("html"), "h1").alias("title"))
     return df.select("page_id", web.abstract(F.col("parent"), F.col("title")).alias("abstract"))
 
 
