@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickerloom.functions import segment
 from tickerloom.functions import text as tx
 from tickerloom.operators import dedup, news, scoring
 from tickerloom.plans.registry import query
@@ -167,6 +168,30 @@ def tokenize_words(t):
     return df.select("original_index", F.size("w").alias("n"), F.md5(F.array_join("w", "|")).alias("digest"))
 
 
+SEGMENTED = f"""WITH runs AS (SELECT request_id, unnest(regexp_extract_all(query, '[a-zA-Z0-9.!?,;:]+|[一-龥]+')) AS run, unnest(range(len(regexp_extract_all(query, '[a-zA-Z0-9.!?,;:]+|[一-龥]+')))) AS pos FROM v_requests),
+cjk AS (SELECT run, count(*) AS n FROM runs WHERE regexp_matches(run, '^[一-龥]') GROUP BY run),
+pieces AS (SELECT substr(run, i, k) AS word, sum(n)::BIGINT AS n FROM cjk, range(1, 200) x(i), range(1, {segment.LONGEST} + 1) y(k) WHERE i + k - 1 <= length(run) GROUP BY word),
+total AS (SELECT sum(n)::DOUBLE AS t FROM pieces WHERE length(word) = 1),
+parts AS (SELECT word, n, substr(word, 1, k) AS a, substr(word, k + 1) AS b FROM pieces, range(1, {segment.LONGEST}) z(k) WHERE k < length(word) AND n >= {segment.LEAST}),
+held AS (SELECT p.word, p.n FROM parts p JOIN pieces a ON a.word = p.a JOIN pieces b ON b.word = p.b, total GROUP BY p.word, p.n, t HAVING p.n * t >= {segment.COHESION} * max(a.n::DOUBLE * b.n)),
+known AS (SELECT word, n FROM pieces WHERE length(word) = 1 UNION ALL SELECT * FROM held),
+book AS (SELECT map(list(word), list(round({segment.COST_SCALE} * (ln(s) - ln(n)))::BIGINT)) AS costs FROM known, (SELECT sum(n) AS s FROM known) GROUP BY s),
+ways AS (SELECT run, list_reduce(list_prepend([{{'cost': 0::BIGINT, 'size': 0::BIGINT, 'k': 0::BIGINT, 'words': []::VARCHAR[]}}], list_transform(range(length(run), 0, -1), lambda i: [{{'cost': i, 'size': 0::BIGINT, 'k': 0::BIGINT, 'words': []::VARCHAR[]}}])),
+  lambda done, i: list_prepend(list_sort(list_transform(list_filter(range(1, least({segment.LONGEST}, length(run) - i[1].cost + 1) + 1), lambda k: costs[substr(run, i[1].cost, k)] IS NOT NULL),
+    lambda k: {{'cost': costs[substr(run, i[1].cost, k)] + done[k].cost, 'size': done[k].size + 1, 'k': -k, 'words': list_prepend(substr(run, i[1].cost, k), done[k].words)}}))[1], done)) AS best FROM cjk, book)
+SELECT request_id, count(*) AS n, md5(string_agg(w, '|' ORDER BY pos, j)) AS digest FROM (
+  SELECT request_id, pos, unnest(coalesce(best[1].words, [run])) AS w, unnest(range(len(coalesce(best[1].words, [run])))) AS j FROM runs LEFT JOIN ways USING (run)) GROUP BY request_id"""
+
+
+@query("segment_words", SEGMENTED)
+def segment_words(t):
+    """Requests cut by a dictionary that is learned from all of them."""
+    requests = t.v_requests.select("request_id", "query")
+    cut = segment.dictionary_words(segment.dictionary(segment.learned_words(requests, "query")))
+    df = requests.select("request_id", cut(F.col("query")).alias("w"))
+    return df.select("request_id", F.size("w").cast("long").alias("n"), F.md5(F.array_join("w", "|")).alias("digest"))
+
+
 @query("pluggable_tokenizer", f"""WITH {NODES} SELECT original_index, len(w) AS n, md5(array_to_string(w, '|')) AS digest
 FROM (SELECT original_index, list_filter(string_split(doc2, ' '), lambda x: x <> '') AS w FROM nodes)""")
 def pluggable_tokenizer(t):
