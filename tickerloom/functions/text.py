@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickerloom.functions import signatures
+
 # The kept characters, whitespace, shingle width, permutations and thresholds.
 KEPT_CHARACTERS = "[a-zA-Z0-9 .!?,;:一-龥]+"
 WHITESPACE_AFTER_NFKC = "\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
@@ -89,13 +91,7 @@ def shingles(text: Column, k: int = SHINGLE_WORDS, cut: Words = words) -> Column
 
 def minhash(grams: Column, permutations: int = PERMUTATIONS) -> Column:
     """Smallest salted md5 per salt, as hex; hex order is numeric order. No shingles give zeros."""
-    salts = F.transform(F.sequence(F.lit(0), F.lit(permutations - 1)), lambda i: i.cast("string"))
-    zeros = F.array_repeat(F.lit("0" * 32), permutations)
-
-    def signature(g: Column) -> Column:
-        return F.transform(salts, lambda salt: F.array_min(F.transform(g, lambda s: F.md5(F.concat(s, salt)))))
-
-    return let(grams, lambda g: F.when(F.size(g) > 0, signature(g)).otherwise(zeros))
+    return signatures.minhash(grams, permutations)
 
 
 def equal_positions(a: Column, b: Column) -> Column:

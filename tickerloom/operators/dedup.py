@@ -131,20 +131,37 @@ def leading(undecided: DataFrame, leaders: int, few: int) -> DataFrame:
     return first.where((F.col("_size") <= leaders) | (F.col("_rank") <= few)).drop("_rank", "_size")
 
 
-def band_keys(items: DataFrame, simhashes: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
+class SignatureStore:
+    """MinHash signatures of items, each computed once and kept in the shared folder, for bands and comparisons alike."""
+
+    def __init__(self, items_of: ItemsOf, cut: tx.Words = tx.words):
+        self.items_of, self.cut = items_of, cut
+        self.known: DataFrame | None = None
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """``(original_index, sig)`` of distinct ids; those not known yet are added."""
+        wanted = materialize(ids, "wanted")
+        new = wanted if self.known is None else wanted.join(self.known.select("original_index"), "original_index", "left_anti")
+        doc = self.items_of(new).select("original_index", tx.clean(F.col("doc")).alias("doc2"))
+        # the generator makes the shingles a real column, so a cut in Python and the signatures are two steps
+        grams = redistribute(doc, "original_index").select("original_index", F.explode(F.array(tx.shingles(F.col("doc2"), cut=self.cut))).alias("grams"))
+        added = materialize(grams.select("original_index", tx.minhash(F.col("grams")).alias("sig")), "minhash")
+        self.known = added if self.known is None else self.known.unionByName(added)
+        return self.known.join(wanted, "original_index", "left_semi")
+
+
+def band_keys(signatures: DataFrame, simhashes: DataFrame) -> DataFrame:
     """Key rows by MinHash bands. A pair above the content threshold differs in too few positions to differ in all bands.
 
     More than three quarters of 128 equal positions leave 31 unequal ones at most, and there are 32 bands of four.
     """
     rows = tx.PERMUTATIONS // (int(tx.PERMUTATIONS * (1 - tx.CONTENT_THRESHOLD)) or 1)
     bands = tx.PERMUTATIONS // rows
-    doc = items.select("original_index", tx.clean(F.col("doc")).alias("doc2"))
-    signed_ = redistribute(doc, "original_index").select("original_index", tx.minhash(tx.shingles(F.col("doc2"), cut=cut)).alias("sig"))
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.struct(i.alias("pick"), F.xxhash64(i, F.array_join(F.slice("sig", i * rows + 1, rows), "")).alias("key")),
     )
-    return signed_.join(simhashes, "original_index").select("original_index", "simhash", F.lit(bands).alias("n_keys"), F.inline(keys))
+    return signatures.join(simhashes, "original_index").select("original_index", "simhash", F.lit(bands).alias("n_keys"), F.inline(keys))
 
 
 def compared(items: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
@@ -190,14 +207,10 @@ def similar_titles(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def similar_content(pairs: DataFrame, items_of: ItemsOf, cut: tx.Words = tx.words) -> DataFrame:
+def similar_content(pairs: DataFrame, store: SignatureStore) -> DataFrame:
     """Pairs whose MinHash signatures agree often enough; signatures only for the ids involved."""
     pairs = materialize(pairs, "titles")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("original_index")).distinct()
-    signed_items = items_of(ids).select("original_index", tx.clean(F.col("doc")).alias("doc2"))
-    signatures = materialize(
-        redistribute(signed_items, "original_index").select("original_index", tx.minhash(tx.shingles(F.col("doc2"), cut=cut)).alias("sig")), "minhash"
-    )
+    signatures = store.of(pairs.select(F.explode(F.array("a", "b")).alias("original_index")).distinct())
     a = signatures.select(F.col("original_index").alias("a"), F.col("sig").alias("sig_a"))
     b = signatures.select(F.col("original_index").alias("b"), F.col("sig").alias("sig_b"))
     joined = pairs.join(a, "a").join(b, "b")
@@ -264,6 +277,7 @@ def deduplicate(
         ),
         "keys",
     )
+    store = SignatureStore(items_of, cut)
     kept_parts, dropped_parts, edge_parts = [], [], []
     undecided, members = keys, keys
     rounds = 0
@@ -280,7 +294,7 @@ def deduplicate(
             .select(F.col("l.original_index").alias("a"), F.col("m.original_index").alias("b"))
             .distinct()
         )
-        edges = materialize(similar_content(similar_titles(candidates, nodes), items_of, cut), "pairs")
+        edges = materialize(similar_content(similar_titles(candidates, nodes), store), "pairs")
         edge_parts.append(edges)
         settleable = (
             front.groupBy("original_index", "n_keys").agg(F.count("*").alias("n")).where("n = n_keys").select("original_index")
@@ -303,7 +317,7 @@ def deduplicate(
                 others = keys.join(kept, "original_index", "left_anti").select("original_index").distinct()
             else:
                 others = crowd
-            banded = materialize(band_keys(items_of(others), nodes.select("original_index", "simhash"), cut), "bands")
+            banded = materialize(band_keys(store.of(others), nodes.select("original_index", "simhash")), "bands")
             undecided, members = banded.join(crowd, "original_index", "left_semi"), banded
             continue
         members = members.join(kept, "original_index", "left_anti") if with_matches else undecided

@@ -303,7 +303,7 @@ def is_duplicate(t):
     """The three tests on each listed pair; MinHash only for pairs that pass the two cheap ones."""
     pairs = news_pairs(t, "simhash").select("a", "b", (tx.hamming(F.col("a_simhash"), F.col("b_simhash")) <= tx.SIMHASH_THRESHOLD).alias("near"))
     near = pairs.where("near").select("a", "b")
-    passed = dedup.similar_content(dedup.similar_titles(near, nodes(t)), items_of(t)).withColumn("hit", F.lit(True))
+    passed = dedup.similar_content(dedup.similar_titles(near, nodes(t)), dedup.SignatureStore(items_of(t))).withColumn("hit", F.lit(True))
     return pairs.join(passed, ["a", "b"], "left").select("a", "b", F.coalesce("hit", F.lit(False)).alias("duplicate"))
 
 
