@@ -131,6 +131,15 @@ def leading(undecided: DataFrame, leaders: int, few: int) -> DataFrame:
     return first.where((F.col("_size") <= leaders) | (F.col("_rank") <= few)).drop("_rank", "_size")
 
 
+def signed_items(docs: DataFrame, cut: tx.Words = tx.words) -> DataFrame:
+    """``(original_index, sig)`` of ``(original_index, doc2)``.
+
+    The generator makes the shingles a real column: a Python function can't take the result of a higher-order function directly.
+    """
+    grams = docs.select("original_index", F.explode(F.array(tx.shingles(F.col("doc2"), cut=cut))).alias("grams"))
+    return grams.select("original_index", tx.minhash(F.col("grams")).alias("sig"))
+
+
 class SignatureStore:
     """MinHash signatures of items, each computed once and kept in the shared folder, for bands and comparisons alike."""
 
@@ -143,9 +152,7 @@ class SignatureStore:
         wanted = materialize(ids, "wanted")
         new = wanted if self.known is None else wanted.join(self.known.select("original_index"), "original_index", "left_anti")
         doc = self.items_of(new).select("original_index", tx.clean(F.col("doc")).alias("doc2"))
-        # the generator makes the shingles a real column, so a cut in Python and the signatures are two steps
-        grams = redistribute(doc, "original_index").select("original_index", F.explode(F.array(tx.shingles(F.col("doc2"), cut=self.cut))).alias("grams"))
-        added = materialize(grams.select("original_index", tx.minhash(F.col("grams")).alias("sig")), "minhash")
+        added = materialize(signed_items(redistribute(doc, "original_index"), self.cut), "minhash")
         self.known = added if self.known is None else self.known.unionByName(added)
         return self.known.join(wanted, "original_index", "left_semi")
 

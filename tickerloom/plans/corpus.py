@@ -220,7 +220,7 @@ def md5_int(t):
 
 @query("minhash_signature", f"""WITH {GRAMS}, {sig('nodes')} SELECT original_index, len(sig) AS n, sig[1] AS first, md5(array_to_string(sig, '|')) AS digest FROM sig""")
 def minhash_signature(t):
-    df = nodes(t).select("original_index", tx.minhash(tx.shingles(F.col("doc2"))).alias("s"))
+    df = dedup.signed_items(nodes(t)).withColumnRenamed("sig", "s")
     return df.select("original_index", F.size("s").alias("n"), F.element_at("s", 1).alias("first"), F.md5(F.array_join("s", "|")).alias("digest"))
 
 
@@ -251,7 +251,7 @@ def title_similarity(t):
 
 
 def signature_pairs(t):
-    signed = nodes(t).select("original_index", tx.minhash(tx.shingles(F.col("doc2"))).alias("sig"))
+    signed = dedup.signed_items(nodes(t))
     pairs = news_pairs(t).select("a", "b")
     a = signed.select(F.col("original_index").alias("a"), F.col("sig").alias("sig_a"))
     b = signed.select(F.col("original_index").alias("b"), F.col("sig").alias("sig_b"))
