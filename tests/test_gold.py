@@ -443,3 +443,10 @@ def test_scans_per_plan(spark, sf_dir):
     most = {"sample_balanced": 8, "classification_report": 4, "scan_index_members": 2, "two_period_reports": 6, "prices_adjusted": 2}
     found = {n: catalog.queries()[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString().count("FileScan") for n in most}
     assert {n: found[n] for n in most if found[n] > most[n]} == {}
+
+
+def test_instruments_without_industry_stay(spark):
+    latest = spark.createDataFrame([("a", 10.0), ("b", 20.0), ("c", 5.0), ("d", 1.0)], "code string, pe double")
+    industry = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "code string, industry string")
+    got = {r.code: (r.industry, r.industry_mean, r.peers, r.gap) for r in statements.against_industry(latest, industry, "pe").collect()}
+    assert got == {"a": ("x", 15.0, 2, -5.0), "b": ("x", 15.0, 2, 5.0), "c": (None, None, None, None)}

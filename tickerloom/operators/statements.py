@@ -139,10 +139,10 @@ def price_multiple(bars: DataFrame, profit: DataFrame) -> DataFrame:
 
 
 def against_industry(latest: DataFrame, industry: DataFrame, value: str) -> DataFrame:
-    """Value minus the mean of its industry; means are aggregated first and joined back."""
+    """Value minus the mean of its industry; means are aggregated first and joined back. Without an industry there is no mean."""
     tagged = latest.join(industry.select("code", "industry"), "code")
-    means = tagged.groupBy("industry").agg(F.avg(value).alias("industry_mean"), F.count("*").alias("peers"))
-    return tagged.join(means, "industry").select(
+    means = tagged.where("industry is not null").groupBy("industry").agg(F.avg(value).alias("industry_mean"), F.count("*").alias("peers"))
+    return tagged.join(means, "industry", "left").select(
         "code", "industry", value, "industry_mean", "peers", (F.col(value) - F.col("industry_mean")).alias("gap")
     )
 
