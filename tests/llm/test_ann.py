@@ -67,3 +67,32 @@ def test_unusable_rows_take_no_part(spark):
 def test_rotation_keeps_distances():
     turn = ann.rotation(64)
     assert np.allclose(turn @ turn.T, np.eye(64))
+
+
+def test_candidates_are_abandoned():
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((40, 64)) * 4
+    vectors = centres[rng.integers(0, 40, 4000)] + rng.standard_normal((4000, 64)) * 0.5
+    shares = {}
+    for name, rows in (("clustered", vectors), ("random", rng.standard_normal((4000, 64)))):
+        block, hits = ann.Block(np.arange(4000), rows), 0
+        for own in range(0, 4000, 100):
+            true = np.lexsort((np.arange(4000), ((rows - rows[own]) ** 2).sum(1)))[1:11]
+            hits += len(set(block.nearest(own, rows[own])[0].tolist()) & set(true.tolist()))
+        assert hits / 400 >= 0.9
+        shares[name] = block.abandoned / (40 * 4000)
+    assert shares["clustered"] > 0.75 and shares["random"] > 0.2, shares
+    small = ann.Block(np.arange(100), vectors[:100])
+    far = ann.Block(np.arange(100, 200), vectors[100:200])
+    bound = small.nearest(-1, vectors[0])[1][-1] ** 2
+    far.nearest(-1, vectors[0], 10, bound)
+    assert far.abandoned > 50  # the bound of one list serves the next
+
+
+def test_repeated_query_rows_are_one_query(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(60)]
+    frame = spark.createDataFrame([rows[0], *rows, rows[5]], "vec_id long, embedding array<double>")
+    got = [r for r in ann.search(frame, lambda key: key % 100 == 0).collect()]
+    assert [r["rank"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 11))
+    assert all(r.vec_id != 0 for r in got) and len({r.vec_id for r in got}) >= 9  # row 5 is there twice

@@ -35,6 +35,8 @@ TARGET = 0.985
 BLOCK = 8192
 QUERY_BLOCK = 1024
 _SCAN = 1024
+#: Rows measured whole before the first bound is known; steps double from there.
+_FIRST = 64
 
 
 def distances(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -77,19 +79,24 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
+        self.abandoned = 0
         self.size = vectors.shape[1]
         self.turn = rotation(self.size)
         turned = self.vectors @ self.turn
         self.cuts = [(a, min(a + COLUMNS, self.size)) for a in range(0, self.size, COLUMNS)]
         self.columns = [np.ascontiguousarray(turned[:, a:b]) for a, b in self.cuts]
 
-    def nearest(self, own: int, query: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, distances)`` of up to ``k`` rows found, ties to the smaller id."""
+    def nearest(self, own: int, query: np.ndarray, k: int = K, bound: float = math.inf) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, distances)`` of up to ``k`` rows found, ties to the smaller id.
+
+        ``bound`` is a squared distance known to hold ``k`` rows elsewhere. ``abandoned`` counts the rows left before their last columns.
+        """
         q = query @ self.turn
         found_rows, found = np.zeros(0, np.int64), np.zeros(0)
-        bound = math.inf
-        for at in range(0, len(self.ids), _SCAN):
-            rows = np.arange(at, min(at + _SCAN, len(self.ids)))
+        at, step = 0, _FIRST
+        while at < len(self.ids):
+            rows = np.arange(at, min(at + step, len(self.ids)))
+            at, step = at + step, min(2 * step, _SCAN)
             rows = rows[self.ids[rows] != own]
             part = np.zeros(len(rows))
             for (a, b), block in zip(self.cuts, self.columns):
@@ -99,6 +106,8 @@ class Block:
                     if b < self.size:
                         limit *= b / self.size * (1 + EPSILON / math.sqrt(b)) ** 2
                     keep = part <= limit
+                    if b < self.size:
+                        self.abandoned += len(keep) - int(keep.sum())
                     rows, part = rows[keep], part[keep]
                 if not len(rows):
                     break
@@ -108,7 +117,7 @@ class Block:
                 best = np.lexsort((self.ids[found_rows], found))[:k]
                 found_rows, found = found_rows[best], found[best]
                 if len(found) == k:
-                    bound = found[-1] ** 2
+                    bound = min(bound, found[-1] ** 2)
         return self.ids[found_rows], found
 
 
@@ -135,7 +144,8 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
     ``score`` is the Euclidean distance in double precision, ``rank`` counts from 1, ties go to the smaller id. Rows with
     a null key, and null or zero vectors or ones with null or non-finite parts, take no part, nor do vectors of
     another length than the commonest. A row with the query's own key is not its candidate. Repeated vectors are
-    neighbours at distance 0. Without rows or queries the result is empty.
+    neighbours at distance 0. Rows that repeat the key of a query are one query, by the least of their vectors, and each a candidate of
+    others. Without rows or queries the result is empty.
     """
     good, size = usable(vectors, key, vector)
     total = good.count()
@@ -156,7 +166,7 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
     sizes = {r[0]: r[1] for r in index.groupBy("list").count().collect()}  # at most MOST_LISTS rows
     held = np.array([sizes.get(i, 0) for i in range(len(centroids))])
     cuts = np.maximum(1, -(-held // BLOCK))
-    queries = index.where(is_query(F.col("id")))
+    queries = index.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
 
     def probe(batches):
@@ -165,16 +175,18 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
             near = _squares(_matrix(batch.column(1), size), centroids).argsort(1)
             # more lists are probed where the usual number holds too few rows for k neighbours
             needed = np.maximum(probes, (np.cumsum(held[near], axis=1) <= k + 1).sum(axis=1) + 1)
-            row, tile = [], []
+            row, tile, first = [], [], []
             for i, of in enumerate(near.tolist()):
                 part = int(ids[i]) * 2654435761 % 2**32 % parts
                 for at in of[: needed[i]]:
                     for cut in range(cuts[at]):
                         row.append(i)
+                        first.append(at == of[0])
                         tile.append((at << 40) | (cut << 20) | part)
-            yield batch.take(pa.array(row, pa.int64())).add_column(0, "tile", pa.array(tile, pa.int64()))
+            taken = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(tile, pa.int64()), *taken.columns, pa.array(first, pa.bool_())], ["tile", "id", "v", "first"])
 
-    asked = queries.select("id", "v").mapInArrow(probe, f"tile long, id long, v {kind}")
+    asked = queries.select("id", "v").mapInArrow(probe, f"tile long, id long, v {kind}, first boolean")
     # the cut of a row is drawn by its hash; each block of queries meets every block of the list
     cut_of = F.create_map(*[x for i in np.nonzero(cuts > 1)[0].tolist() for x in (F.lit(i), F.lit(int(cuts[i])))]) if (cuts > 1).any() else None
     n_cuts = F.coalesce(cut_of[F.col("list")], F.lit(1)) if cut_of is not None else F.lit(1)
@@ -186,12 +198,19 @@ def search(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "emb
         out = []
         if rows.num_rows and asked.num_rows:
             block = Block(rows.column("id").to_numpy(), _matrix(rows.column("v"), size))
-            for own, query in zip(asked.column("id").to_pylist(), _matrix(asked.column("v"), size)):
-                ids, found = block.nearest(own, query, k)
+            for own, query, bound in zip(asked.column("id").to_pylist(), _matrix(asked.column("v"), size), asked.column("bound").to_pylist()):
+                ids, found = block.nearest(own, query, k, math.inf if bound is None else bound)
                 out.append((np.full(len(ids), own), ids, found))
         own, ids, found = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(3))
         return pa.table({"query_id": pa.array(own.astype(np.int64)), "vec_id": pa.array(ids.astype(np.int64)), "score": pa.array(found.astype(float))})
 
-    found = stored.groupBy("tile").cogroup(asked.groupBy("tile")).applyInArrow(scan, "query_id long, vec_id long, score double")
+    def scanned(some: DataFrame) -> DataFrame:
+        return stored.groupBy("tile").cogroup(some.groupBy("tile")).applyInArrow(scan, "query_id long, vec_id long, score double")
+
+    # the nearest list comes first; its k-th distance is where candidates of the other lists are abandoned
+    near = materialize(scanned(asked.where("first").select("tile", "id", "v", F.lit(None).cast("double").alias("bound"))), "near")
     first = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    kth = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") == k).select(F.col("query_id").alias("id"), (F.col("score") ** 2).alias("bound"))
+    far = scanned(asked.where("not first").join(kth, "id", "left").select("tile", "id", "v", "bound"))
+    found = near.unionByName(far)
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
