@@ -82,11 +82,11 @@ def test_candidates_are_abandoned():
         assert hits / 400 >= 0.9
         shares[name] = block.abandoned / (40 * 4000)
     assert shares["clustered"] > 0.75 and shares["random"] > 0.2, shares
-    small = ann.Block(np.arange(100), vectors[:100])
-    far = ann.Block(np.arange(100, 200), vectors[100:200])
-    bound = small.nearest(-1, vectors[0])[1][-1] ** 2
-    far.nearest(-1, vectors[0], 10, bound)
-    assert far.abandoned > 50  # the bound of one list serves the next
+    # the bound of the query's own list serves the next one
+    apart = ((vectors - vectors[0]) ** 2).sum(1).argsort()
+    near, far = ann.Block(np.arange(50), vectors[apart[:50]]), ann.Block(np.arange(100), vectors[apart[200:300]])
+    bound = near.nearest(-1, vectors[0])[1][-1] ** 2
+    assert far.nearest(-1, vectors[0], 10, bound)[0].size == 0 and far.abandoned > 90
 
 
 def test_repeated_query_rows_are_one_query(spark):
