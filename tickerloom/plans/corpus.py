@@ -129,7 +129,7 @@ def scan_csv_pruned(t):
 def csv_head_extract(t):
     path = scratch_path(t.spark, "head-csv")
     files.head_extract(t.v_news.select(*files.NEWS_CSV.fieldNames()), path, "original_index")
-    return files.read_csv(t.spark, path, files.NEWS_CSV).select(
+    return files.read_csv(t.spark, path, files.NEWS_CSV, split=False).select(
         "original_index", "Date", "Stock_symbol", F.md5("Article").alias("article"), "risk_deepseek"
     )
 
