@@ -322,6 +322,50 @@ def test_run_folders(spark, tmp_path):
     assert (row.execution_id, row.agent_name, row.execution_time_seconds, row.input_data["q"]) == ("run_7", "news_agent", 2.5, "x")
 
 
+def test_all_documents_of_run_folders(spark, tmp_path):
+    run = tmp_path / "run 8+x"
+    for folder in ("agents", "llm_interactions", "tools", "reports", "other"):
+        (run / folder).mkdir(parents=True)
+    put = lambda path, *docs, indent=None: (run / path).write_text("\n".join(json.dumps(d, indent=indent, ensure_ascii=False) for d in docs), encoding="utf-8")
+    put("execution_info.json", {"execution_id": "ignored", "status": "completed", "success": True, "start_timestamp": 1.5}, indent=2)
+    put("agents/a_execution.json", {"agent_name": "a", "success": False}, indent=2)
+    put("agents/notes.json", {"agent_name": "no log"})
+    put("llm_interactions/a_summary_1.json", {"interaction_id": "1", "input": {"message_count": 2}, "output": {"content": "新\n闻"}}, indent=2)
+    (run / "llm_interactions" / "a_summary_1.txt").write_text("not read")
+    put("tools/a_tools.jsonl", {"tool_name": "x", "output": "one"}, {"tool_name": "y", "output": "two\nlines"})
+    put("tools/b_tools.jsonl", {"tool_name": "z"})
+    with open(run / "tools" / "b_tools.jsonl", "a") as f:
+        f.write("\r\n\r\n")
+    put("reports/final_report_info.json", {"report_path": "r.md", "report_length": 3, "report_preview": "abc"}, indent=2)
+    put("other/execution_info.jsonx", {})
+    (tmp_path / "run9").mkdir()
+    (tmp_path / "run9" / "execution_info.json").write_text("{broken")
+
+    read = lambda kind: runs.read_run_folders(spark, str(tmp_path), kind)
+    assert sorted((r.execution_id, r.status or "", r.start_timestamp or 0) for r in read("execution").collect()) == [("run 8+x", "completed", 1.5), ("run9", "", 0)]
+    assert [(r.execution_id, r.agent_name, r.success) for r in read("agents").collect()] == [("run 8+x", "a", False)]
+    assert [(r.interaction_id, r.input.message_count, r.output.content) for r in read("interactions").collect()] == [("1", 2, "新\n闻")]
+    assert sorted((r.tool_name, r.output) for r in read("tools").collect()) == [("x", "one"), ("y", "two\nlines"), ("z", None)]
+    assert [(r.report_path, r.report_length, r.report_preview) for r in read("reports").collect()] == [("r.md", 3, "abc")]
+
+
+def test_both_layouts_give_the_same_table(spark, tmp_path):
+    events = spark.createDataFrame(
+        [("r1", 0, "user", "hi", "a", 1.0, 2.0, True), ("r1", 1, "assistant", "yo", "a", 3.0, 5.0, False)],
+        "execution_id string, turn long, role string, text string, agent_name string, started double, ended double, success boolean",
+    )
+    runs.write_run(events, str(tmp_path / "flat"))
+    flat = runs.flat_documents(spark, str(tmp_path / "flat"))
+    assert sorted(r.kind for r in flat.collect()) == ["agents", "execution", "interactions", "interactions", "reports", "tools"]
+    names = {"execution": "execution_info.json", "agents": "agents/a_execution.json", "tools": "tools/a_tools.jsonl", "reports": "reports/final_report_info.json"}
+    for i, r in enumerate(flat.collect()):
+        to = tmp_path / "folders" / r.execution_id / names.get(r.kind, f"llm_interactions/a_{i}.json")
+        to.parent.mkdir(parents=True, exist_ok=True)
+        to.write_text(r.document)
+    folders = runs.folder_documents(spark, str(tmp_path / "folders"))
+    assert sorted(map(str, folders.collect())) == sorted(map(str, flat.collect()))
+
+
 def test_open_ended_ranges(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)], "d date")
     assert market.date_between(df, "d", None, None).count() == 3 and market.date_between(df, "d", "2024-01-02", None).count() == 2

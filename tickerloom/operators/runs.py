@@ -6,6 +6,8 @@ last messages are plain aggregates. Only texts that must become one value are ga
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,7 +67,23 @@ TOOL_LOG = T.StructType(
         T.StructField("success", T.BooleanType()),
     ]
 )
-REPORT_LOG = T.StructType([T.StructField("execution_id", T.StringType()), T.StructField("report", T.StringType())])
+REPORT_LOG = T.StructType(
+    [
+        T.StructField("execution_id", T.StringType()),
+        T.StructField("report", T.StringType()),
+        T.StructField("report_path", T.StringType()),
+        T.StructField("report_length", T.LongType()),
+        T.StructField("report_preview", T.StringType()),
+    ]
+)
+# Where the folder layout keeps each kind, below the folder of a run.
+RUN_FILES = {
+    "execution": r"execution_info\.json",
+    "agents": r"agents/[^/]+_execution\.json",
+    "interactions": r"llm_interactions/[^/]+\.json",
+    "tools": r"tools/[^/]+\.jsonl",
+    "reports": r"reports/final_report_info\.json",
+}
 #: The kinds of documents of a run and their schemas.
 LOGS = {"execution": EXECUTION_LOG, "agents": AGENT_LOG, "interactions": INTERACTION_LOG, "tools": TOOL_LOG, "reports": REPORT_LOG}
 
@@ -156,11 +174,37 @@ def write_logs(records: DataFrame, path: str) -> None:
     records.write.json(path)
 
 
-def read_run_folders(spark, base: str) -> DataFrame:
-    """Agent documents of the folder layout ``base/<run>/agents/*.json``; the run id comes from the path."""
-    raw = spark.read.schema(AGENT_LOG).option("multiLine", "true").json(f"{base}/*/agents/*.json")
-    run = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/agents/[^/]+$", 1)
-    return raw.withColumn("execution_id", run)
+def flat_documents(spark, base: str) -> DataFrame:
+    """All documents that ``write_run`` left below ``base``: ``execution_id``, ``kind``, ``document``; large files are split."""
+    per_kind = [spark.read.text(f"{base}/{kind}").select(F.lit(kind).alias("kind"), F.col("value").alias("document")) for kind in LOGS]
+    documents = reduce(DataFrame.unionByName, per_kind)
+    return documents.select(F.get_json_object("document", "$.execution_id").alias("execution_id"), "kind", "document")
+
+
+def folder_documents(spark, base: str) -> DataFrame:
+    """All documents of the folder layout, in one scan that packs small files: ``execution_id``, ``kind``, ``document``.
+
+    The run id is the folder's name. Each line of a file of tool calls is a document; other files are one. Files that belong to
+    no kind are left out, so are blank lines. A document that is no JSON keeps its row; its fields are null when parsed.
+    """
+    raw = spark.read.text(base, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json*")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # written by Spark, always valid
+    kind = F.coalesce(*[F.when(path.rlike(f"/[^/]+/{files}$"), kind) for kind, files in RUN_FILES.items()])
+    run = F.coalesce(*[F.nullif(F.regexp_extract(path, f"/([^/]+)/{files}$", 1), F.lit("")) for files in RUN_FILES.values()])
+    parts = F.when(F.col("kind") == "tools", F.split("value", r"\r?\n")).otherwise(F.array("value"))
+    found = raw.select(run.alias("execution_id"), kind.alias("kind"), "value").where("kind is not null")
+    return found.select("execution_id", "kind", F.explode(parts).alias("document")).where("trim(document) <> ''")
+
+
+def parsed_logs(documents: DataFrame, kind: str) -> DataFrame:
+    """The documents of one kind as typed rows; the run id is that of the table."""
+    rows = documents.where(F.col("kind") == kind).select("execution_id", F.from_json("document", LOGS[kind]).alias("_row"))
+    return rows.select("execution_id", *[f"_row.{f.name}" for f in LOGS[kind] if f.name != "execution_id"])
+
+
+def read_run_folders(spark, base: str, kind: str = "agents") -> DataFrame:
+    """Documents of one kind from the folder layout."""
+    return parsed_logs(folder_documents(spark, base), kind)
 
 
 def run_durations(events: DataFrame) -> DataFrame:

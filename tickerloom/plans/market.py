@@ -392,15 +392,55 @@ def statement_tables(t):
     return {kind: getattr(t, view) for kind, view in STATEMENTS.items()}
 
 
-@query("scan_statement", """SELECT code, 'profit' AS report, "报告日" AS report_date, round("营业收入", 6) AS value FROM v_profit WHERE "报告日" = '19970930'
-UNION ALL SELECT code, 'balance', "报告日", round("资产总计", 6) FROM v_balance WHERE "报告日" = '19970930'
-UNION ALL SELECT code, 'cash_flow', "报告日", round("经营活动产生的现金流量净额", 6) FROM v_cash WHERE "报告日" = '19970930'""")
+TARGET = "(y * 10000 + CASE q WHEN 1 THEN 331 WHEN 2 THEN 630 WHEN 3 THEN 930 ELSE 1231 END)::VARCHAR"
+#: For the check: the items of each report by statement, written out. Requests hold one quarter that nobody has published.
+REPORT_ITEMS = {
+    "profit": {"v_profit": ["营业收入", "营业成本", "营业利润", "净利润"]},
+    "balance": {"v_balance": ["货币资金", "应收账款", "存货", "流动资产合计", "资产总计", "流动负债合计", "负债合计", "所有者权益合计"]},
+    "cash_flow": {"v_cash": ["经营活动产生的现金流量净额", "投资活动产生的现金流量净额", "筹资活动产生的现金流量净额"]},
+    "growth": {"v_profit": ["营业收入", "营业利润", "净利润"], "v_balance": ["资产总计", "所有者权益合计"], "v_cash": []},
+    "operation": {"v_profit": ["营业收入"], "v_balance": ["应收账款", "存货", "流动资产合计", "资产总计"], "v_cash": []},
+    "dupont": {"v_profit": ["营业收入", "净利润"], "v_balance": ["资产总计", "所有者权益合计"], "v_cash": []},
+}
+UNPUBLISHED = 2030
+
+
+def report_sql() -> str:
+    names = {view: kind for kind, view in STATEMENTS.items()}
+    parts = []
+    for report, tables in REPORT_ITEMS.items():
+        for view, items in tables.items():
+            picked = "".join(f', round("{i}", 6) AS "{i}"' for i in items)
+            which = "" if report in statements.TWO_PERIODS else " WHERE b = 0"
+            parts.append(
+                f"""SELECT '{report}' AS report, w.code, request_year, q, y AS report_year, '{names[view]}' AS statement, "报告日" AS report_date{picked}
+FROM (SELECT *, {TARGET} AS target FROM asked{which}) w ASOF JOIN {view} p ON w.code = p.code AND w.target >= p."报告日" """
+            )
+    return (
+        f"""WITH r AS (SELECT code, y, q FROM v_statement_requests UNION SELECT code, {UNPUBLISHED}, 1 FROM v_statement_requests),
+asked AS (SELECT code, y AS request_year, q, y - b AS y, b FROM r, (SELECT unnest([0, 1]) AS b))
+"""
+        + "\nUNION ALL BY NAME ".join(parts)
+    )
+
+
+@query("scan_statement", report_sql())
 def scan_statement(t):
-    picks = [("profit", t.v_profit, "营业收入"), ("balance", t.v_balance, "资产总计"), ("cash_flow", t.v_cash, "经营活动产生的现金流量净额")]
-    return final(project.union_by_name([
-        statements.statement_at(table, None, 1997, 3).select("code", F.lit(name).alias("report"), F.col("报告日").alias("report_date"), F.col(item).alias("value"))
-        for name, table, item in picks
-    ]))
+    """All six reports for every requested quarter, those not yet published as of the newest before, stacked."""
+    asked = t.v_statement_requests
+    later = asked.select("code", F.lit(UNPUBLISHED).cast("long").alias("y"), F.lit(1).cast("long").alias("q")).distinct()
+    requests = asked.unionByName(later)
+    made = []
+    for kind in statements.KEYWORDS:
+        found = statements.statement_report(kind, statement_tables(t), requests)
+        if kind in statements.TWO_PERIODS:
+            found = found.withColumnRenamed(statements.REPORT_TYPE, "statement")
+        else:
+            found = found.withColumnsRenamed({"y": "request_year"}).withColumns(
+                {"report_year": F.col("request_year"), "statement": F.lit(statements.STATEMENT_OF[kind])}
+            )
+        made.append(found.withColumn("report", F.lit(kind)).withColumnRenamed(statements.REPORT_DATE, "report_date").drop("币种", "类型"))
+    return final(project.union_by_name(made))
 
 
 @query("project_keyword_columns", """SELECT code, "报告日", "币种", "营业收入", "营业成本", "营业利润", "净利润" FROM
@@ -409,9 +449,6 @@ def project_keyword_columns(t):
     return final(project.project_keyword_columns(t.v_profit, statements.KEYWORDS["profit"], keep=["code"]))
 
 
-TARGET = "(y * 10000 + CASE q WHEN 1 THEN 331 WHEN 2 THEN 630 WHEN 3 THEN 930 ELSE 1231 END)::VARCHAR"
-
-
 @query("asof_statement", f"""WITH r AS (SELECT code, y, q, {TARGET} AS target FROM v_statement_requests)
 SELECT r.code, r.y, r.q, r.target, p."报告日" AS report_date, round(p."净利润", 6) AS net_income
 FROM r ASOF JOIN v_profit p ON r.code = p.code AND r.target >= p."报告日" """)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerloom.operators import runs
+from tickerloom.operators import project, runs
 from tickerloom.plans.registry import query
 from tickerloom.plans.shape import final
 from tickerloom.session import scratch_path
@@ -22,18 +22,33 @@ def agents(t):
     return runs.agent_logs(events(t))
 
 
-@query("scan_run_logs", """SELECT execution_id, execution_id || '-' || turn AS interaction_id, agent_name, role, md5(text) AS content, 1 AS message_count, length(text) AS total_input_length,
-length(text)::INT AS content_length, round((ended - started)::DOUBLE, 6) AS seconds FROM v_turns""")
+@query("scan_run_logs", f"""WITH {AGENTS}, {DURATIONS}
+SELECT execution_id, 'execution' AS kind, NULL::VARCHAR AS name, NULL::VARCHAR AS content, NULL::BIGINT AS number, round(total, 6) AS seconds,
+  CASE WHEN success THEN 'completed' ELSE 'failed' END AS status FROM durations
+UNION ALL SELECT execution_id, 'agents', agent_name, characters::VARCHAR, events, round((ended - started)::DOUBLE, 6), CASE WHEN success THEN 'completed' ELSE 'failed' END FROM agents
+UNION ALL SELECT execution_id, 'interactions', execution_id || '-' || turn, md5(text), length(text), round((ended - started)::DOUBLE, 6), role FROM v_turns
+UNION ALL SELECT execution_id, 'tools', agent_name, md5(shown), length(shown), round((ended - started)::DOUBLE, 6), success::VARCHAR
+  FROM (SELECT *, CASE WHEN length(text) > 1000 THEN left(text, 1000) || '...' ELSE text END AS shown FROM v_turns WHERE role = 'user')
+UNION ALL SELECT execution_id, 'reports', NULL, md5(arg_max(text, turn)), length(arg_max(text, turn)), NULL, NULL FROM v_turns WHERE role = 'assistant' GROUP BY execution_id""")
 def scan_run_logs(t):
-    """Nested interaction documents written as JSON and scanned back with the declared schema."""
-    path = scratch_path(t.spark, "interactions")
-    runs.write_logs(runs.interaction_logs(events(t)), f"{path}/interactions")
+    """Documents of all five kinds written, scanned as one table of documents and parsed by kind."""
+    path = scratch_path(t.spark, "runs")
+    runs.write_run(events(t), path)
+    documents = runs.flat_documents(t.spark, path)
+    none = F.lit(None).cast("string")
     message = F.col("input.messages")[0]
-    return runs.read_logs(t.spark, path, "interactions").select(
-        "execution_id", "interaction_id", "agent_name", message["role"].alias("role"), F.md5(message["content"]).alias("content"),
-        "input.message_count", "input.total_input_length", "output.content_length",
-        F.round("performance.execution_time_seconds", 6).alias("seconds"),
-    )
+
+    def rows(kind, name, content, number, seconds, status):
+        made = {"name": name, "content": content, "number": number.cast("long"), "seconds": F.round(seconds, 6), "status": status.cast("string")}
+        return runs.parsed_logs(documents, kind).select("execution_id", F.lit(kind).alias("kind"), *[c.alias(n) for n, c in made.items()])
+
+    return project.union_by_name([
+        rows("execution", none, none, F.lit(None), F.col("total_execution_time_seconds"), F.col("status")),
+        rows("agents", F.col("agent_name"), F.col("output_data")["characters"], F.col("input_data")["events"], F.col("execution_time_seconds"), F.col("status")),
+        rows("interactions", F.col("interaction_id"), F.md5(message["content"]), F.col("input.total_input_length"), F.col("performance.execution_time_seconds"), message["role"]),
+        rows("tools", F.col("agent_name"), F.md5("output"), F.length("output"), F.col("execution_time_seconds"), F.col("success")),
+        rows("reports", none, F.md5("report"), F.length("report"), F.lit(None).cast("double"), none),
+    ])
 
 
 @query("sink_run_logs", f"""WITH {AGENTS} SELECT execution_id, agent_name, round((ended - started)::DOUBLE, 6) AS seconds, success,
