@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +49,32 @@ def test_broken_pages_do_not_fail(source):
     assert isinstance(html_tree.main_texts([source], html_tree.default_model())[0], str)
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<head><title>x</title><article><p>{}</p></article>",
+        "<title>x</title><article><p>{}</p></article>",
+        "<html><head><meta charset=u><noscript><link rel=a><article><p>{}</p></article>",
+        "<body><div class=menu><ul><li><a href=/>Home</a></ul><noscript>no</div><article><p>{}</p></article>",
+        "<body><article><p title=don't>{}</p></article><!-- ' -->",
+        "<body><article><p title=\"a > b\" data-x='<p>'>{}</p></article>",
+        "<body><article><p class = \"a\" title=\"open>{}</p></article>",
+    ],
+)
+@pytest.mark.parametrize("text", ["It isn't long, but it is a whole sentence.", "A sum <math><mi>x</mi> + 1</math> stands here, in the middle."])
+def test_pages_that_leave_out_tags_or_quotes(source, text):
+    got = html_tree.main_texts([source.format(text)], html_tree.default_model())[0]
+    assert got == text.replace("<math><mi>", "").replace("</mi>", "").replace("</math>", "")
+
+
+@pytest.mark.parametrize("source", ["<div title=\"a" * 30_000, "<p title='x>" * 30_000 + "'", "<div>" * 30_000, "<x>" * 20_000 + "<li></li>" * 20_000, "<svg>" * 30_000 + "</p>" * 30_000, "<svg>" * 30_000 + "<p></object>" * 30_000, "<!--" * 90_000, "<" * 300_000, "<p>x" * 30_000])
+def test_time_is_linear(source):
+    html_tree.default_model()
+    started = time.process_time()
+    html_tree.main_texts([source], html_tree.default_model())
+    assert time.process_time() - started < 20
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(1, "u", PAGE, "old", 3), (1, "u", PAGE, "old", 3), (None, None, None, None, None), (2, "v", "", "x", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")

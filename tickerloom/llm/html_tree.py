@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -26,10 +27,14 @@ from tickerloom.llm.common import bound_batches, small_batches
 
 #: Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style".split())
-HIDDEN = frozenset("script style template noscript head iframe svg math canvas object audio video select textarea button".split())
+RAW = frozenset("script style title textarea".split())
+HIDDEN = frozenset("script style title template noscript head iframe svg canvas object audio video select textarea button".split())
+#: Elements that may stand in a head; any other ends it.
+IN_HEAD = frozenset("base link meta title script style template noscript head html".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
+) | frozenset(
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle mspace mpadded mphantom semantics annotation".split()
 )
 ENDS_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -47,9 +52,9 @@ OUTER_WORDS = frozenset(
 )
 INNER_WORDS = frozenset("article body content entry main post story text".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r">|=\s*[\"']")
+_RAW_END = {name: re.compile(rf"</{name}[^>]*>?", re.I) for name in RAW}
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Za-z][a-z]*")
 _SPACE = re.compile(r"\s+")
@@ -111,13 +116,130 @@ def _leaf_features(text: str, linked: int) -> list[int]:
     return out
 
 
+@dataclass
+class Tag:
+    name: str
+    end: bool
+    attributes: str
+    single: bool
+
+
+class Tokens:
+    """Texts and tags of a page in order, read once: no quote or bracket is looked for twice beyond the last one there is."""
+
+    def __init__(self, source: str):
+        self.source, self.at = source, 0
+        self._last = {mark: source.rfind(mark) for mark in ">\"'"}
+
+    def __iter__(self):
+        source, size = self.source, len(self.source)
+        heard = 0
+        while (start := source.find("<", self.at)) >= 0:
+            found = _NAME.match(source, start)
+            if found:
+                close = self._close(found.end())
+                if close < 0:  # no tag, but text
+                    self.at = start + 1
+                    continue
+                yield source[heard:start]
+                self.at = close + 1
+                attributes = source[found.end() : close]
+                yield Tag(found.group(2).lower(), bool(found.group(1)), attributes, attributes.endswith("/"))
+            elif source.startswith("<!--", start):
+                yield source[heard:start]
+                self._skip("-->", start + 4)
+            elif source.startswith("<![CDATA[", start):
+                yield source[heard:start]
+                self._skip("]]>", start + 9)
+                yield html.escape(source[start + 9 : self.at].removesuffix("]]>"))
+            elif source.startswith(("<!", "<?"), start):
+                yield source[heard:start]
+                self._skip(">", start + 2)
+            else:
+                self.at = start + 1
+                continue
+            heard = self.at  # the caller may have moved on
+        yield source[heard:size]
+
+    def _skip(self, mark: str, start: int) -> None:
+        end = self.source.find(mark, start)
+        self.at = len(self.source) if end < 0 else end + len(mark)
+
+    def skip_raw(self, name: str) -> None:
+        """Move behind the end tag of an element whose content is no markup."""
+        ended = _RAW_END[name].search(self.source, self.at)
+        self.at = ended.end() if ended else len(self.source)
+
+    def _close(self, at: int) -> int:
+        """The bracket that ends a tag; those in quoted values do not, a quote opens a value only behind ``=``."""
+        while at <= self._last[">"]:
+            found = _STOP.search(self.source, at)
+            if not found:
+                return -1
+            if found.group() == ">":
+                return found.start()
+            quote, at = found.group()[-1], found.end()
+            if at <= self._last[quote]:
+                at = self.source.index(quote, at) + 1
+        return -1
+
+
+class Hidden:
+    """Elements whose text does not show, with what is open inside them."""
+
+    def __init__(self):
+        self.clear()
+
+    def __bool__(self) -> bool:
+        return bool(self.stack)
+
+    def clear(self) -> None:
+        self.stack: list[str] = []
+        self.count: Counter[str] = Counter()  # of the stack
+        self.inside: Counter[str] = Counter()
+
+    def start(self, name: str) -> None:
+        self.stack.append(name)
+        self.count[name] += 1
+
+    def end(self, name: str) -> None:
+        if not self.count[name]:
+            return
+        while True:
+            last = self.stack.pop()
+            self.count[last] -= 1
+            if last == name:
+                break
+        if not self.stack:
+            self.clear()
+
+    def passes(self, tag: Tag, open_: dict[str, list[int]]) -> bool:
+        """Whether a tag ends what is hidden: one that no head may hold, or the end of an element around it."""
+        if tag.name == "body" or (not tag.end and tag.name not in IN_HEAD and self.count["head"] and self.count["head"] + self.count["noscript"] == len(self.stack)):
+            return True
+        if tag.name in VOID or tag.single:
+            return False
+        if not tag.end:
+            self.inside[tag.name] += 1
+        elif self.inside[tag.name]:
+            self.inside[tag.name] -= 1
+        else:
+            return bool(open_.get(tag.name))
+        return False
+
+
 def parse(source: str) -> Tree:
-    """The tree of a page. Tags left open are closed as browsers do for paragraphs, list items and table cells."""
+    """The tree of a page. Tags left open are closed as browsers do for paragraphs, list items and table cells.
+
+    A head ends at the first element that none may hold, another hidden element at the end of an element around it.
+    """
     tree = Tree()
     open_: list[tuple[str, int]] = [("html", tree.add(-1, False, _element_features("html", "")))]
+    depths: dict[str, list[int]] = {"html": [0]}  # of the open elements by name
+    scopes: list[int] = []  # depths of open elements that bound where list items and cells are closed
     run: list[str] = []
-    hidden: list[str] = []
-    links, linked, at = 0, 0, 0
+    hidden = Hidden()
+    links, linked = 0, 0
 
     def end_run() -> None:
         nonlocal linked
@@ -130,72 +252,61 @@ def parse(source: str) -> Tree:
 
     def close(depth: int) -> None:
         end_run()
-        del open_[depth:]
-
-    def hear(text: str) -> None:
-        nonlocal linked
-        if text and not hidden:
-            run.append(text)
-            if links:
-                linked += len(text.strip())
-
-    while at < len(source):
-        found = _TOKEN.search(source, at)
-        if not found:
-            hear(source[at:])
-            break
-        hear(source[at : found.start()])
-        at, (slash, name, attributes) = found.end(), found.groups()
-        if name is None:
-            if found.group().startswith("<![CDATA["):
-                hear(html.escape(found.group()[9:].removesuffix("]]>")))
+        while len(open_) > depth:
+            name, _ = open_.pop()
+            depths[name].pop()
+            if name in SCOPES:
+                scopes.pop()
+
+    tokens = Tokens(source)
+    for token in tokens:
+        if isinstance(token, str):
+            if token and not hidden:
+                run.append(token)
+                if links:
+                    linked += len(token.strip())
             continue
-        name = name.lower()
+        name = token.name
         if name in HIDDEN:
-            if slash:
-                if name in hidden:
-                    while hidden.pop() != name:
-                        pass
+            if token.end:
+                hidden.end(name)
             elif name in RAW:
-                ended = re.compile(rf"</{name}[^>]*>?", re.I).search(source, at)
-                at = ended.end() if ended else len(source)
-            elif not found.group().endswith("/>"):
-                hidden.append(name)
+                tokens.skip_raw(name)
+            elif not token.single:
+                hidden.start(name)
             continue
-        if name == "body":
-            hidden.clear()  # a head that was not closed ends here
         if hidden:
-            continue
+            if not hidden.passes(token, depths):
+                continue
+            hidden.clear()
         if name in INLINE:
             if name == "br":
                 run.append(" ")
             elif name == "a":
-                links = 0 if slash else 1
+                links = 0 if token.end else 1
             continue
         if name in VOID:
             if name == "hr":
                 end_run()
             continue
-        if slash:
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth][0] == name:
-                    close(depth)
-                    links = 0
-                    break
+        if token.end:
+            if name != "html" and depths.get(name):
+                close(depths[name][-1])
+                links = 0
             continue
-        if name in ("html", "body") and any(o[0] == name for o in open_):
+        if name in ("html", "body") and depths.get(name):
             continue
-        if name in ENDS_P and any(o[0] == "p" for o in open_):
-            close(max(d for d, o in enumerate(open_) if o[0] == "p"))
+        if name in ENDS_P and depths.get("p"):
+            close(depths["p"][-1])
             links = 0
-        for depth in range(len(open_) - 1, 0, -1):
-            if open_[depth][0] in CLOSED_BY.get(name, ()):
-                close(depth)
-                break
-            if open_[depth][0] in SCOPES:
-                break
+        closed = max((depths[other][-1] for other in CLOSED_BY.get(name, ()) if depths.get(other)), default=0)
+        if closed and closed >= (scopes[-1] if scopes else 0):
+            close(closed)
         end_run()
-        open_.append((name, tree.add(open_[-1][1], False, _element_features(name, attributes))))
+        depths.setdefault(name, []).append(len(open_))
+        if name in SCOPES:
+            scopes.append(len(open_))
+        open_.append((name, tree.add(open_[-1][1], False, _element_features(name, token.attributes))))
     end_run()
     return tree
 
@@ -225,7 +336,7 @@ class Forest:
         for i, p in enumerate(self.parent.tolist()):  # parents come first
             if p >= 0:
                 depth[i] = depth[p] + 1
-        self.levels = [np.nonzero(depth == d)[0] for d in range(int(depth.max(initial=-1)) + 1)]
+        self.levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1]) if len(depth) else []
 
     def marginals(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
         """Probability of content per node, and of (parent, child) states per node (zero for roots)."""
