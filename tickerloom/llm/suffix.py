@@ -22,6 +22,7 @@ are told by bit tables of fixed size and not shuffled.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -40,6 +41,9 @@ LENGTH = 200
 GRAM = 32
 #: Suffixes that one partition should hold.
 BUCKET = 40_000
+#: Bytes of a text that are hashed at once, and points that leave a task at once.
+BLOCK = 1 << 16
+POINTS_AT_ONCE = 4096
 #: Bits of the tables by which texts that a join can't need are left out of its shuffle: 8 MB each.
 TABLE_BITS = 26
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -65,17 +69,24 @@ def _sliding(values: np.ndarray, window: int, pick) -> np.ndarray:
     return pick(values[: len(values) - (window - span)], values[window - span :]) if window > span else values
 
 
-def sync_points(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """``(positions, gram hashes)`` of the grams that are smallest in some ``length``-byte string of ``text``."""
-    if len(text) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = gram_hashes(np.frombuffer(text, np.uint8))
-    window = length - GRAM + 1
-    least = _sliding(h, window, np.minimum)
+def sync_points(text: bytes, length: int = LENGTH, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """``(positions, gram hashes)`` of the grams that are smallest in some ``length``-byte string of ``text``.
+
+    The text is read in blocks, each with the surroundings that decide on its points, so memory follows the points.
+    """
+    window, last = length - GRAM + 1, len(text) - GRAM  # the last place of a gram
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     edge = np.zeros(window - 1, np.uint64)  # below every hash
-    best = _sliding(np.concatenate([edge, least, edge]), window, np.maximum)
-    at = np.nonzero(best == h)[0]
-    return at, h[at]
+    for start in range(0, last + 1 if len(text) >= length else 0, block):
+        end = min(start + block, last + 1)
+        low, high = max(0, start - window + 1), min(last + 1, end + window - 1)
+        h = gram_hashes(np.frombuffer(text, np.uint8, high - low + GRAM - 1, low))
+        least = _sliding(h, window, np.minimum)
+        best = _sliding(np.concatenate([edge, least, edge]), window, np.maximum)
+        at = np.nonzero(best[start - low : end - low] == h[start - low : end - low])[0] + (start - low)
+        places.append(at + low)
+        hashes.append(h[at])
+    return np.concatenate(places), np.concatenate(hashes)
 
 
 def contexts(text: bytes, grams: np.ndarray, length: int = LENGTH) -> Iterator[tuple[int, bytes, bytes, bytes]]:
@@ -200,15 +211,18 @@ _SPAN = "_tid long, _n int, _from int, _to int"
 
 
 def _points(batches, length):
-    for batch in small_batches(batches, 64):
-        out = []
-        tids, ns, texts, grams = (c.to_pylist() for c in batch.columns)
-        for tid, n, text, some in zip(tids, ns, texts, grams):
-            known = np.array(some, np.int64).view(np.uint64)
-            out += [(tid, n, *row) for row in contexts(text.encode(), known, length)]
-        cols = list(zip(*out)) or [()] * 6
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["_tid", "_n", "_at", "_more", "_left", "_right"])
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+
+    def rows():
+        for batch in small_batches(batches, 16):
+            for tid, n, text, some in zip(*(c.to_pylist() for c in batch.columns)):
+                known = np.array(some, np.int64).view(np.uint64)
+                for row in contexts(text.encode(), known, length):
+                    yield (tid, n, *row)
+
+    left = rows()
+    while out := list(itertools.islice(left, POINTS_AT_ONCE)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["_tid", "_n", "_at", "_more", "_left", "_right"])
 
 
 def _sorted_bucket(batches, length: int, parts: int):
