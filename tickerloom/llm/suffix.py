@@ -131,9 +131,16 @@ def multikey_order(rows: np.ndarray) -> np.ndarray:
     return order
 
 
-def _matrix(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    out = np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.uint8).reshape(len(values), width)
-    return out, np.fromiter(map(len, values), np.int64, len(values))
+def _matrix(values: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column as rows of ``width`` bytes, short ones padded with zeros, and their lengths."""
+    n = len(values)
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int32, n + 1, values.offset * 4).astype(np.int64) if n else np.zeros(1, np.int64)
+    lengths = np.diff(at)
+    out = np.zeros((n, width), np.uint8)
+    if at[-1] > at[0]:
+        out[np.arange(width) < lengths[:, None]] = np.frombuffer(data, np.uint8, at[-1] - at[0], at[0])
+    return out, lengths
 
 
 def _common(rows: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -153,17 +160,15 @@ def _best(common: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeats(left: list[bytes], right: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+def repeats(lmat: np.ndarray, llen: np.ndarray, rmat: np.ndarray, rlen: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
     """Smallest and largest matched offset per row (-1 if none), and ``(offset, rows)`` of the strings at the ends.
 
     Offset d stands for the string from d bytes before the point. Two rows match there if they agree on
     ``length - d`` bytes to the right and on d bytes to the left. A string is at an end if all suffixes between it and the
     first or last one begin like it, so that a suffix of the next partition may, too; equal ones count once.
     """
-    n, reach = len(right), length - GRAM
+    n, reach = len(rmat), length - GRAM
     low, high = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
-    rmat, rlen = _matrix(right, length)
-    lmat, llen = _matrix(left, reach)
     rorder, lorder = multikey_order(rmat), multikey_order(lmat)
     rcommon, lcommon = _common(rmat, rlen, rorder), _common(lmat, llen, lorder)
     rbest, lbest = _best(rcommon, rorder), _best(lcommon, lorder)
@@ -206,7 +211,6 @@ def _grams(batches, length):
 
 _POINT = "_tid long, _n int, _at int, _more binary, _left binary, _right binary"
 _DIGEST = np.dtype([("h", "<u8"), ("h2", "<u8"), ("tid", "<i8"), ("n", "<i4"), ("at", "<i4"), ("d", "<i4")])
-_LOW = 2**64 - 1
 _SPAN = "_tid long, _n int, _from int, _to int"
 
 
@@ -230,35 +234,43 @@ def _sorted_bucket(batches, length: int, parts: int):
     given = [b for b in batches if b.num_rows]
     if not given:
         return
-    rows = pa.Table.from_batches(given).to_pandas().drop_duplicates(["_tid", "_n", "_at"])
-    del given
-    left, right = rows["_left"].tolist(), rows["_right"].tolist()
-    low, high, ends = repeats(left, right, length)
-    rlen = np.fromiter(map(len, right), np.int64, len(right))
-    llen = np.fromiter(map(len, left), np.int64, len(left))
-    first, last = length - rlen, np.minimum(llen, length - GRAM)  # offsets that fit into the text
-    first = np.maximum(first, 0)
-    more = rows["_more"].tolist()
-    again = np.fromiter(map(bool, more), bool, len(more)) & (first <= last)
+    rows = pa.Table.from_batches(given)
+    places = np.rec.fromarrays([rows.column(c).to_numpy() for c in ("_tid", "_n", "_at")])
+    once = np.unique(places, return_index=True)[1]
+    if len(once) < len(places):
+        rows = rows.take(pa.array(np.sort(once)))
+    tid, n, at = (rows.column(c).to_numpy() for c in ("_tid", "_n", "_at"))
+    lmat, llen = _matrix(rows.column("_left").combine_chunks(), length - GRAM)
+    rmat, rlen = _matrix(rows.column("_right").combine_chunks(), length)
+    more = rows.column("_more").combine_chunks()
+    del rows, given, places
+    low, high, ends = repeats(lmat, llen, rmat, rlen, length)
+    first, last = np.maximum(length - rlen, 0), np.minimum(llen, length - GRAM)  # offsets that fit into the text
+    others = np.diff(np.frombuffer(more.buffers()[1], np.int32, len(more) + 1, more.offset * 4)) // 4
+    again = (others > 0) & (first <= last)
     low[again], high[again] = first[again], last[again]
 
-    tid, n, at = (rows[c].to_numpy() for c in ("_tid", "_n", "_at"))
-    spans = [(tid[i], n[i], at[i] - high[i], at[i] - low[i] + length) for i in np.nonzero(low >= 0)[0]]
-    for i in np.nonzero(again)[0]:
-        spans += [(tid[i], n[i], p - high[i], p - low[i] + length) for (p,) in struct.iter_unpack("<i", more[i])]
-    cols = np.array(spans, np.int64).reshape(-1, 4)
-
-    open_ = []
-    for d, of in ends:
-        for i in of.tolist():
-            whole = (left[i][:d][::-1] + right[i])[:length]
-            # the offset is part of it, as one string is open at several points of its own text
-            h = xxhash.xxh3_128_intdigest(whole, d)
-            open_.append((h & _LOW, h >> 64, tid[i], n[i], at[i], d))
-    digests = np.array(open_, _DIGEST)
+    own = np.nonzero(low >= 0)[0]
+    of = np.concatenate([own, np.repeat(np.nonzero(again)[0], others[again])])
+    place = np.concatenate([at[own], np.frombuffer(b"".join(more.filter(pa.array(again)).to_pylist()), "<i4")])
+    cols = np.column_stack([tid[of], n[of], place - high[of], place - low[of] + length]).astype(np.int64)
+
+    digests = np.empty(sum(len(some) for _, some in ends), _DIGEST)
+    done = 0
+    for d, some in ends:
+        block = digests[done : done + len(some)]
+        done += len(some)
+        whole = np.concatenate([lmat[some, :d][:, ::-1], rmat[some, : length - d]], axis=1)
+        # the offset is part of it, as one string is open at several points of its own text
+        both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(row, d) for row in whole), ">u8").reshape(-1, 2)
+        block["h2"], block["h"], block["d"] = both[:, 0], both[:, 1], d
+        block["tid"], block["n"], block["at"] = tid[some], n[some], at[some]
+    del lmat, rmat, ends
     part = (digests["h"] % np.uint64(parts)).astype(np.int64)
-    used = np.unique(part)
-    blobs = [digests[part == p].tobytes() for p in used]
+    digests = digests[np.argsort(part, kind="stable")]
+    used, sizes = np.unique(part, return_counts=True)
+    edges = np.cumsum([0, *sizes])
+    blobs = [digests[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
     none = lambda k: pa.nulls(k, pa.int64())
     ints = [pa.concat_arrays([pa.array(np.ascontiguousarray(cols[:, j])), none(len(used))]).cast(t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32()))]
     yield pa.RecordBatch.from_arrays(
