@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from tickerloom.functions import signatures
@@ -47,3 +48,30 @@ def test_each_signature_is_computed_once(spark):
         got = store.of(wanted).collect()
         assert len(got) == wanted.count() and calls.value == seen
     assert next(r for r in got if r.original_index == 12).sig == plain(["doc number 12", "number 12 of", "12 of some", "of some words"], 128)
+
+
+def test_shared_shingles_are_hashed_once(monkeypatch):
+    seen = []
+
+    class Counted(signatures.Digests):
+        def __init__(self, shingles, permutations):
+            seen.extend(shingles)
+            super().__init__(shingles, permutations)
+
+    monkeypatch.setattr(signatures, "Digests", Counted)
+    texts = [["a b c", "b c d", "x" * 60], [], ["b c d", "x" * 60], ["a b c"]]
+    assert list(signatures.signatures(texts, 16)) == [plain(t, 16) for t in texts]
+    assert len(seen) == len(set(seen)) == 3
+
+
+def test_equal_first_words_are_told_apart_by_the_rest():
+    class Found:
+        def salted(self, salt):
+            return np.array([7, 7, 9, 7], np.uint32)
+
+        def whole(self, salt, lanes):
+            return np.array([[7, 5], [7, 3], [9, 0], [6, 9]], np.uint64)[lanes]
+
+    starts, sizes = np.array([0, 3]), np.array([3, 2])
+    got = signatures._least(Found(), 0, np.array([0, 1, 2, 3, 2]), starts, sizes)
+    assert got.tolist() == [[7, 3], [6, 9]]
