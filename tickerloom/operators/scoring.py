@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.functions.text import let
+from tickerloom.session import bound_batches
 
 # Candidate scores and the digits kept of a probability.
 SCORES = [1, 2, 3, 4, 5]
@@ -49,7 +50,7 @@ def logits_udf(load_sentiment: Callable[[], Model], load_risk: Callable[[], Mode
 
 def score_news(items: DataFrame, load_sentiment: Callable[[], Model], load_risk: Callable[[], Model]) -> DataFrame:
     """Sentiment and risk structs per item with ``stock_symbol`` and ``summary``; each row is scored once."""
-    logits = items.withColumn("_logits", logits_udf(load_sentiment, load_risk)(F.col("stock_symbol"), F.col("summary")))
+    logits = bound_batches(items).withColumn("_logits", logits_udf(load_sentiment, load_risk)(F.col("stock_symbol"), F.col("summary")))
     return logits.select(
         *items.columns, softmax_score(F.col("_logits.sentiment")).alias("sentiment"), softmax_score(F.col("_logits.risk")).alias("risk")
     )
