@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import BitTable, bit_segments, bound_batches, shuffle_partitions, small_batches, spread_join
+from tickerloom.llm.common import BitTable, bit_segments, bound_batches, released, shuffle_partitions, small_batches, spread_join
 from tickerloom.session import discard, materialize
 
 LENGTH = 200
@@ -279,17 +279,22 @@ def _sorted_bucket(batches, length: int, parts: int):
     )
 
 
-def _across(rows: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Strings that stand at the ends of at least two partitions."""
-    all_ = np.concatenate([np.frombuffer(b, _DIGEST) for b in rows["_open"]])
-    order = np.lexsort((all_["h2"], all_["h"]))
-    h, h2 = all_["h"][order], all_["h2"][order]
-    same = (h[1:] == h[:-1]) & (h2[1:] == h2[:-1])
-    met = all_[order[np.append(same, False) | np.insert(same, 0, False)]]
-    start = met["at"] - met["d"]
-    return pd.DataFrame({"_tid": met["tid"], "_n": met["n"], "_from": start, "_to": start + length}).groupby(
-        ["_tid", "_n", "_from"], as_index=False
-    ).agg({"_to": "max"})
+def _across(rows: pa.Table, length: int) -> pa.Table:
+    """Strings that stand at the ends of at least two partitions. Only hashes are sorted, the rest is read where they met."""
+    blobs = [np.frombuffer(b.as_buffer(), _DIGEST) for b in rows.column("_open")]
+    h, h2 = (np.concatenate([b[name] for b in blobs]) for name in ("h", "h2"))
+    order = np.lexsort((h2, h))
+    same = np.ones(len(order) - 1, bool)
+    for hashes in (h, h2):
+        same &= hashes[order[1:]] == hashes[order[:-1]]
+    met = np.sort(order[np.append(same, False) | np.insert(same, 0, False)])
+    del h, h2, order
+    first = np.cumsum([0, *map(len, blobs)])
+    cuts = np.searchsorted(met, first)
+    found = np.concatenate([b[met[lo:hi] - at] for b, at, lo, hi in zip(blobs, first, cuts[:-1], cuts[1:])])
+    spans = np.unique(np.rec.fromarrays([found["tid"], found["n"], found["at"] - found["d"]], names="tid,n,start"))
+    columns = [pa.array(np.ascontiguousarray(c)) for c in (spans["tid"], spans["n"], spans["start"], spans["start"] + np.int32(length))]
+    return pa.table(columns, ["_tid", "_n", "_from", "_to"])
 
 
 def _may_hold(segments: dict[int, bytes], bits: int):
@@ -312,7 +317,7 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: in
     keyed = docs.withColumns({"_tid": F.xxhash64(body), "_n": F.hash(body), "_id": F.coalesce(F.col(key).cast("long"), F.lit(0)), "_body": body})
     bare = keyed.select("_tid", "_n", "_id", "_body")
     long_ = bare.where(F.octet_length("_body") >= length)
-    grams = long_.mapInArrow(lambda b: _grams(b, length), "_tid long, _n int, _id long, _grams array<long>")
+    grams = long_.mapInArrow(lambda b: released(_grams(b, length)), "_tid long, _n int, _id long, _grams array<long>")
     texts = materialize(
         grams.groupBy("_tid", "_n").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_copies"), F.first("_grams").alias("_grams")), "texts"
     )
@@ -323,15 +328,15 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, bucket: in
     wanted = materialize(wanted, "wanted")
     may = _may_hold(bit_segments(wanted.select("_tid"), bits), bits)
     chosen = bare.where(may("_tid")).join(wanted, ["_tid", "_n", "_id"]).select("_tid", "_n", "_body", "_grams")
-    points = materialize(chosen.mapInArrow(lambda b: _points(b, length), _POINT), "suffixes")
+    points = materialize(chosen.mapInArrow(lambda b: released(_points(b, length)), _POINT), "suffixes")
 
     n = points.count()
     parts = max(shuffle_partitions(docs), -(-n // bucket))
     # suffixes that are equal meet in one partition or at the ends of neighbours, however what follows them in the order parts them
     dealt = points.repartitionByRange(parts, "_right", "_left", F.xxhash64("_tid", "_n", "_at"))
-    found = materialize(dealt.mapInArrow(lambda b: _sorted_bucket(b, length, parts), f"{_SPAN}, _part int, _open binary"), "spans")
+    found = materialize(dealt.mapInArrow(lambda b: released(_sorted_bucket(b, length, parts)), f"{_SPAN}, _part int, _open binary"), "spans")
     discard(points)
-    met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInPandas(lambda r: _across(r, length), _SPAN)
+    met = found.where("_part is not null").select("_part", "_open").groupBy("_part").applyInArrow(lambda r: _across(r, length), _SPAN)
     rows = found.where("_part is null").select("_tid", "_n", "_from", "_to").unionByName(met)
     per = rows.groupBy("_tid", "_n").agg(F.collect_set(F.struct("_from", "_to")).alias("_spans"))
     whole = texts.select("_tid", "_n", (F.col("_copies") > 1).alias("_whole"))
@@ -377,4 +382,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     schema = T.StructType([*docs.schema.fields, *extra.fields])
     as_is = flagged.where("not _may").select(*names, F.encode("_body", "UTF-8").alias("_kept"), F.lit(0).cast("long").alias("_n_removed"), F.lit(0).cast("long").alias("_n_spans"))
-    return joined.mapInArrow(cut, schema).union(as_is)
+    return joined.mapInArrow(lambda b: released(cut(b)), schema).union(as_is)
