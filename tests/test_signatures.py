@@ -3,10 +3,14 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from tickerloom.functions import signatures
 from tickerloom.functions import text as tx
 from tickerloom.operators import dedup
+from tickerloom.plans import corpus
+from tickerloom.session import materialize
+from tickerloom.sources.standins import Tables
 
 
 def plain(shingles, permutations):
@@ -75,3 +79,27 @@ def test_equal_first_words_are_told_apart_by_the_rest():
     starts, sizes = np.array([0, 3]), np.array([3, 2])
     got = signatures._least(Found(), 0, np.array([0, 1, 2, 3, 2]), starts, sizes)
     assert got.tolist() == [[7, 3], [6, 9]]
+
+
+def test_packed_signatures_hold_the_same_digests(spark):
+    texts = ["", "one", "one two", "a b c d e", "a b c d f", "股票市场 分析 报告 abc", "x" * 90 + " y z z y", "a b c a b c a b c", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string").coalesce(1)
+    rows = frame.select("i", tx.packed_minhash(F.col("t")).alias("sig"), F.explode(F.array(tx.shingles(F.col("t")))).alias("g"))
+    rows = rows.select("i", "sig", "g", tx.packed_grams(F.col("g")).alias("own"), tx.unpacked(F.col("sig")).alias("hex")).orderBy("i").collect()
+    for r, text in zip(rows, texts):
+        if text is None:
+            assert r.sig is None
+            continue
+        assert r.g == tx.word_shingles(text)
+        assert r.hex == plain(r.g, 128) and r.sig == r.own == bytes.fromhex("".join(r.hex))
+    pairs = spark.createDataFrame([(a.i, b.i, a.sig, b.sig, a.hex, b.hex) for a in rows for b in rows], "a long, b long, x binary, y binary, p array<string>, q array<string>")
+    got = pairs.select(tx.equal_places(F.col("x"), F.col("y")).alias("n"), "x", "y", tx.equal_positions(F.col("p"), F.col("q")).alias("m")).collect()
+    assert all(r.n is None if r.x is None or r.y is None else r.n == r.m for r in got) and any(0 < (r.n or 0) < 128 for r in got)
+
+
+@pytest.mark.parametrize("name", ["content_overlap", "minhash_jaccard"])
+def test_pairs_move_packed_signatures_and_no_texts(spark, sf_dir, monkeypatch, name):
+    stored = {}
+    monkeypatch.setattr(corpus, "materialize", lambda df, label: stored.setdefault(label, materialize(df, label)))
+    getattr(corpus, name)(Tables(spark, sf_dir))
+    assert {label: dict(df.dtypes) for label, df in stored.items()} == {"minhash": {"original_index": "bigint", "title2": "string", "sig": "binary"}}
