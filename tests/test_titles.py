@@ -75,3 +75,20 @@ def test_titles_alone_leave_texts_unread(spark, monkeypatch):
     monkeypatch.setattr(news, "normalize", counted)
     assert listed(dedup.compared_titles(news.titled_items(table))) == full
     assert 0 < read.value < 25_000
+
+
+def test_simhash_of_a_text_is_that_of_its_words(spark):
+    texts = ["", "one", "a b, c! 3.5 股票市场分析 x", "w " * 600 + "v", None, "up " * 255, "q r " * 40000]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = frame.select(tx.text_simhash(F.col("t")).alias("a"), tx.simhash(tx.words(F.col("t"))).alias("b"), tx.text_simhash(F.col("t"), tx.segmenter_words).alias("c"), tx.simhash(tx.segmenter_words(F.col("t"))).alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in got) and got[0].a == 0 and got[4].a is None
+    plan = frame.select(tx.text_simhash(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # words are cut where they are hashed
+
+
+def test_items_are_spread_with_the_one_text_that_is_used(spark):
+    schema = "original_index long, Date string, Article_title string, Stock_symbol string, Article string, Textrank_summary string, risk_deepseek double"
+    rows = spark.createDataFrame([(i, None, f"t {i}", "S", None if i % 3 else "an article", "a summary", None) for i in range(60)], schema).coalesce(1)
+    spread = news.news_items(rows, spread=True)
+    assert spread.rdd.getNumPartitions() > 1
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, news.news_items(rows).collect()))
