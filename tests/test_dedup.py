@@ -166,3 +166,41 @@ def test_discarded_tables_are_gone(spark):
     assert gone.count() == 3
     discard(gone)
     assert not pathlib.Path(gone.scratch).exists() and kept.count() == 3
+
+
+@pytest.mark.parametrize("leaders", [1, 4, 64])
+def test_title_tokens_are_keys_of_crowds_only(spark, leaders):
+    rows = corpus(8, 40, 70)
+    nodes = dedup.compared(spark.createDataFrame(rows, SCHEMA)).where(F.size("counts") > 0).localCheckpoint()
+    keyed = dedup.key_rows(nodes, leaders).collect()
+    keys, n_keys = {}, {r.original_index: r.n_keys for r in keyed}
+    for r in keyed:
+        keys.setdefault(r.original_index, []).append((r["pick"], r.key))
+    assert all(len(keys[i]) == n for i, n in n_keys.items()) and len(keys) == nodes.count()
+    picks = len(dedup.block_masks())
+    blocks = dedup.block_masks()
+    hashes = {r.original_index: r.simhash for r in nodes.select("original_index", "simhash").collect()}
+    lonely = [i for i, h in hashes.items() if all(sum(h & m == other & m for other in hashes.values()) <= leaders for m in blocks)]
+    assert lonely and all(n_keys[i] == picks for i in lonely)
+    items = [Item(*r) for r in rows]
+    pairs = [(a.index, b.index) for a in items for b in items if a.index < b.index and a.index in keys and b.index in keys and duplicates(a, b)]
+    assert len(pairs) > 50 and all(set(keys[a]) & set(keys[b]) for a, b in pairs)
+
+
+def test_tables_of_the_search_are_gone(spark, monkeypatch):
+    import pathlib
+
+    stored, original = [], dedup.materialize
+
+    def noted(df, label):
+        stored.append((label, original(df, label)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(dedup, "materialize", noted)
+    rows = corpus(9, 20, 30)
+    outcome = dedup.deduplicate(spark.createDataFrame(rows, SCHEMA), with_matches=True)
+    there = {label for label, df in stored if pathlib.Path(df.scratch).exists()}
+    assert not there & {"leaders", "minhash", "wanted"} and "searchable" in there
+    kept, lost = serial_kept(rows)
+    assert {r.original_index: r.duplicate_of for r in outcome.matches.collect()} == lost
+    assert {r[0] for r in rows} - {r.original_index for r in outcome.dropped.collect()} == kept
